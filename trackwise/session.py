@@ -24,6 +24,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.ui.showConsoleProgress", "false")
+          .config("spark.sql.optimizer.windowGroupLimitThreshold", "5000")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -58,3 +59,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+_MATERIALIZED: dict[tuple[str, str], str] = {}
+
+
+def materialize(df: DataFrame, name: str, reuse_key: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    This cuts the lineage (a lost executor re-reads files instead of
+    recomputing the upstream plan) and keeps plans small. With ``reuse_key``,
+    a table already written in this application for the same key is reused.
+    """
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    if reuse_key is not None and (app, reuse_key) in _MATERIALIZED:
+        return spark.read.parquet(_MATERIALIZED[(app, reuse_key)])
+    import uuid
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    if reuse_key is not None:
+        _MATERIALIZED[(app, reuse_key)] = path
+    return spark.read.parquet(path)
