@@ -71,15 +71,18 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 values: dict[str, str], bucket_s: int = 86400,
-                bucket_col: str = "_bkt") -> DataFrame:
+                bucket_col: str = "_bkt", bucket: Column | None = None) -> DataFrame:
     """Add inclusive running sums ``values = {out_col: in_col}`` per key in order.
 
     Two-level prefix sum: running sum inside each ``(key, bucket)`` plus the
-    total of all earlier buckets of that key.
+    total of all earlier buckets of that key. ``bucket`` may be any column that
+    is monotone in ``order`` (default: time bucket of ``order[0]``); ``keys``
+    may be empty for one global order.
     """
     keys = list(keys)
     order = list(order)
-    d = df.withColumn(bucket_col, time_bucket(order[0], bucket_s))
+    b = bucket if bucket is not None else time_bucket(order[0], bucket_s)
+    d = df.withColumn(bucket_col, b)
     w_ord = Window.partitionBy(*keys, bucket_col).orderBy(*order)
     w_in = w_ord.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w_all = w_ord.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from . import catalog
 
-_MODULES = ["q_trajectory"]
+_MODULES = ["q_trajectory", "q_learning"]
 
 
 def _load() -> None:

@@ -168,6 +168,9 @@ def derive_map_features(customer: DataFrame, supplier: DataFrame) -> DataFrame:
 # Fixed values of the vector split: which vec_ids each side drops.
 IMAGE_DROP_MOD = (7, 0)
 TEXT_DROP_MOD = (11, 0)
+# Fixed value: every 97th vector (vec_id mod 97 = 1) gets an upper-case mode,
+# so its image key does not match the key pattern.
+UPPER_MODE_EVERY = 97
 
 
 def derive_vector_tables(embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -179,6 +182,7 @@ def derive_vector_tables(embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
     key = F.format_string("v%06d", F.col("vec_id"))
     mode = F.element_at(F.array(*[F.lit(x) for x in MODES]),
                         (F.col("label") % len(MODES) + 1).cast("int"))
+    mode = F.when(F.col("vec_id") % UPPER_MODE_EVERY == 1, F.upper(mode)).otherwise(mode)
     img = embeddings.where(F.col("vec_id") % IMAGE_DROP_MOD[0] != IMAGE_DROP_MOD[1]).select(
         F.concat(F.lit("trajectory_"), key, F.lit("_"), mode).alias("trajectory_id"),
         F.slice("embedding", 1, 32).alias("embedding"))
