@@ -258,7 +258,10 @@ def q_vec_concat(spark, sf):
 
 
 @register("json_vec", vsql(f"""
-SELECT trajectory_id, CAST(len(embedding) AS BIGINT) AS dim, {_checksum('embedding')} AS checksum FROM txt"""))
+SELECT trajectory_id, CAST(len(embedding) AS BIGINT) AS dim, {_checksum('embedding')} AS checksum FROM (
+  SELECT printf('v%06d', vec_id) AS trajectory_id,
+         list_transform(embedding[33:64], lambda x: CAST(CAST(x AS VARCHAR) AS DOUBLE)) AS embedding
+  FROM embeddings WHERE vec_id % {D.TEXT_DROP_MOD[0]} <> {D.TEXT_DROP_MOD[1]})"""))
 def q_json_vec(spark, sf):
     _, txt = _tables(spark, sf)
     j = txt.select("trajectory_id", E.vector_to_json("embedding").alias("embedding_json"))
