@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from . import catalog
 
-_MODULES = ["q_trajectory", "q_learning", "q_context"]
+_MODULES = ["q_trajectory", "q_learning", "q_context", "q_describe"]
 
 
 def _load() -> None:
