@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from . import catalog
 
-_MODULES = ["q_trajectory", "q_learning", "q_context", "q_describe"]
+_MODULES = ["q_trajectory", "q_learning", "q_context", "q_describe", "q_sources"]
 
 
 def _load() -> None:
