@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from . import catalog
 
-_MODULES = ["q_trajectory", "q_learning", "q_context", "q_describe", "q_sources"]
+_MODULES = ["q_trajectory", "q_learning", "q_context", "q_describe", "q_sources", "q_train"]
 
 
 def _load() -> None:
