@@ -235,6 +235,14 @@ def _wkt_line(c: Column) -> Column:
         F.get(F.split(F.trim(s), r"\s+"), 1).cast("double").alias("lat")))
 
 
+_DATA = T.ArrayType(T.StructType([T.StructField("_VALUE", T.StringType()), T.StructField("_key", T.StringType())]))
+_KEY_SCHEMA = T.StructType([T.StructField("_id", T.StringType()), T.StructField("_for", T.StringType()),
+                            T.StructField("_attr.name", T.StringType())])
+_NODE_SCHEMA = T.StructType([T.StructField("_id", T.StringType()), T.StructField("data", _DATA)])
+_EDGE_SCHEMA = T.StructType([T.StructField("_source", T.StringType()), T.StructField("_target", T.StringType()),
+                             T.StructField("data", _DATA)])
+
+
 def read_graphml_edges(spark: SparkSession, path: str, layer: str = "roads") -> DataFrame:
     """GRAPHML_SCAN: road edges as map-feature rows.
 
@@ -242,17 +250,17 @@ def read_graphml_edges(spark: SparkSession, path: str, layer: str = "roads") ->
     edge's ``geometry`` is a WKT LINESTRING, and an edge without one gets the
     straight line between its two nodes' ``x``/``y``.
     """
-    keys = spark.read.format("xml").option("rowTag", "key").load(path).select(
+    keys = spark.read.format("xml").option("rowTag", "key").schema(_KEY_SCHEMA).load(path).select(
         F.col("_id").cast("string").alias("k"), F.col("`_attr.name`").alias("name"),
         F.col("_for").alias("for")).distinct()
-    nodes = spark.read.format("xml").option("rowTag", "node").load(path)
+    nodes = spark.read.format("xml").option("rowTag", "node").schema(_NODE_SCHEMA).load(path)
     nd = nodes.select(F.col("_id").cast("string").alias("node"), F.explode("data").alias("d"))
     nd = nd.select("node", F.col("d._key").cast("string").alias("k"), F.col("d._VALUE").cast("string").alias("v"))
     nk = keys.where(F.col("for") == "node")
     nxy = nd.join(nk, "k").groupBy("node").agg(
         F.max(F.when(F.col("name") == "x", F.col("v").cast("double"))).alias("x"),
         F.max(F.when(F.col("name") == "y", F.col("v").cast("double"))).alias("y"))
-    edges = spark.read.format("xml").option("rowTag", "edge").load(path)
+    edges = spark.read.format("xml").option("rowTag", "edge").schema(_EDGE_SCHEMA).load(path)
     e = edges.select(F.col("_source").cast("string").alias("src"), F.col("_target").cast("string").alias("dst"),
                      F.monotonically_increasing_id().alias("_eid"), F.col("data"))
     ed = e.select("src", "dst", "_eid", F.explode_outer("data").alias("d")).select(
