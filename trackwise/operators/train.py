@@ -74,13 +74,14 @@ class RandomFourierFeatures(Transformer, HasInputCols, HasOutputCol, DefaultPara
         w = rng.normal(0.0, math.sqrt(2.0 * g), size=(d, len(cols)))
         b = rng.uniform(0.0, 2 * math.pi, size=d)
         scale = math.sqrt(2.0 / d)
-        exprs = []
-        for k in range(d):
-            lin = F.lit(float(b[k]))
-            for j, c in enumerate(cols):
-                lin = lin + F.col(c) * float(w[k, j])
-            exprs.append(F.cos(lin) * scale)
-        return df.withColumn(self.getOutputCol(), array_to_vector(F.array(*exprs)))
+        # W and b are plan constants; one array expression maps x to z.
+        wl = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in w])
+        bl = F.array(*[F.lit(float(v)) for v in b])
+        x = F.array(*[F.col(c).cast("double") for c in cols])
+        z = F.transform(F.arrays_zip(wl.alias("w"), bl.alias("b")), lambda r: F.cos(
+            r["b"] + F.aggregate(F.zip_with(r["w"], x, lambda a, xi: a * xi), F.lit(0.0), lambda s_, t: s_ + t))
+            * F.lit(scale))
+        return df.withColumn(self.getOutputCol(), array_to_vector(z))
 
 
 def prepare_classical(features: DataFrame, feature_cols: list[str], label: str = "label",
