@@ -86,22 +86,39 @@ def quality_report(matched: DataFrame, speed_limit: float = SPEED_LIMIT_KMH,
                    min_points: int = MIN_POINTS, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
     """QUALITY_REPORT / DISTINCT_COUNT: rows and trajectories after each stage.
 
-    ``stage_no, stage, n_rows, n_trajectories``; one aggregate per stage,
-    unioned (each is a partial aggregation, no row leaves its partition).
+    ``stage_no, stage, n_rows, n_trajectories``. Two passes: one aggregate over
+    the matched rows (stages 1-2) and one over the deduplicated rows carrying a
+    flag per later stage (stages 3-6); every count is a partial aggregation.
     """
-    ranged = lat_in_range(matched)
-    dedup = dedup_first(ranged.withColumn("_bkt", time_bucket("ts", bucket_s)), bucket_s).drop("_bkt")
-    checked = speed_checked(matched, speed_limit, bucket_s)
-    fast_ok = checked.where(F.col("speed_kmh") <= speed_limit)
-    final = keep_long(fast_ok, min_points)
-    stages = [(1, "matched", matched), (2, "lat_in_range", ranged), (3, "deduplicated", dedup),
-              (4, "with_previous", checked), (5, "speed_ok", fast_ok), (6, "clean", final)]
-    parts = [df.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
-                    F.countDistinct("unique_id").cast("bigint").alias("n_trajectories"))
-               .select(F.lit(i).cast("bigint").alias("stage_no"), F.lit(name).alias("stage"),
-                       "n_rows", "n_trajectories")
-             for i, name, df in stages]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    in_range = F.col("lat").between(-90.0, 90.0) & ~F.isnan("lat")
+    uid_if = lambda c: F.when(c, F.col("unique_id"))
+    first = matched.agg(
+        F.count(F.lit(1)).alias("n1"), F.countDistinct("unique_id").alias("t1"),
+        F.count(uid_if(in_range)).alias("n2"), F.countDistinct(uid_if(in_range)).alias("t2"))
+
+    d = lat_in_range(matched).withColumn("_bkt", time_bucket("ts", bucket_s))
+    d = dedup_first(d, bucket_s)
+    d = with_previous(d, ["unique_id"], ["ts"], ["lat", "lon", "ts"], prefix="prev_", bucket_s=bucket_s)
+    d = with_speed(d.drop("_bkt"))
+    has_prev = F.col("prev_lat").isNotNull()
+    ok = has_prev & (F.col("speed_kmh") <= speed_limit)
+    d = d.withColumns({"_p": has_prev, "_ok": ok})
+    counts = d.groupBy("unique_id").agg(F.sum(F.col("_ok").cast("int")).alias("_n_ok"))
+    d = d.join(counts, "unique_id").withColumn("_long", F.col("_ok") & (F.col("_n_ok") >= min_points))
+    second = d.agg(
+        F.count(F.lit(1)).alias("n3"), F.countDistinct("unique_id").alias("t3"),
+        F.count(uid_if(F.col("_p"))).alias("n4"), F.countDistinct(uid_if(F.col("_p"))).alias("t4"),
+        F.count(uid_if(F.col("_ok"))).alias("n5"), F.countDistinct(uid_if(F.col("_ok"))).alias("t5"),
+        F.count(uid_if(F.col("_long"))).alias("n6"), F.countDistinct(uid_if(F.col("_long"))).alias("t6"))
+    names = ["matched", "lat_in_range", "deduplicated", "with_previous", "speed_ok", "clean"]
+    a = first.select(F.inline(F.array(*[F.struct(F.lit(i + 1).cast("bigint").alias("stage_no"),
+                                                 F.lit(names[i]).alias("stage"),
+                                                 F.col(f"n{i + 1}").cast("bigint").alias("n_rows"),
+                                                 F.col(f"t{i + 1}").cast("bigint").alias("n_trajectories"))
+                                        for i in range(2)])))
+    b = second.select(F.inline(F.array(*[F.struct(F.lit(i + 1).cast("bigint").alias("stage_no"),
+                                                  F.lit(names[i]).alias("stage"),
+                                                  F.col(f"n{i + 1}").cast("bigint").alias("n_rows"),
+                                                  F.col(f"t{i + 1}").cast("bigint").alias("n_trajectories"))
+                                         for i in range(2, 6)])))
+    return a.unionByName(b)

@@ -77,8 +77,12 @@ class Inputs:
 
     @property
     def matched(self) -> DataFrame:
+        """Matched points, written once per application and folder (the
+        reference also writes this stage to Parquet)."""
         from ..operators.match import match_points
-        return self._get("matched", lambda: match_points(self.points, self.labels))
+        from ..session import materialize
+        return self._get("matched", lambda: materialize(
+            match_points(self.points, self.labels), "matched_points", reuse_key="matched:" + self.sf_dir))
 
     @property
     def clean(self) -> DataFrame:
