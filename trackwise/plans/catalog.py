@@ -95,8 +95,12 @@ class Inputs:
 
     @property
     def features(self) -> DataFrame:
+        """The 12 features per trajectory, written once per application and
+        folder (the reference also keeps them as a file)."""
         from ..operators.kinematics import kinematic_features
-        return self._get("features", lambda: kinematic_features(self.clean))
+        from ..session import materialize
+        return self._get("features", lambda: materialize(
+            kinematic_features(self.clean), "kinematic_features", reuse_key="features:" + self.sf_dir))
 
     @property
     def map_features(self) -> DataFrame:
