@@ -8,11 +8,9 @@ mean step is > 1e-6, else 0. With fewer than three speeds the missing top
 values fall back to the first (largest). Trajectories with < 3 points are left
 out; a duration <= 1e-6 s gives all zeros.
 
-Plan: two bucketed previous-row passes on ``(unique_id, hour)`` (one shuffle,
-reused), partial aggregation per trajectory for the sums and moments, and
-``row_number() <= 3`` per trajectory for the top values, which Spark executes
-with a partial per-partition limit before its shuffle: a hot trajectory sends
-at most three rows per map partition.
+Plan: two bucketed previous-row passes on ``(unique_id, hour)`` (one shuffle
+of the points), top-3 candidates per hour by windows on that partitioning, and
+one partial aggregation per trajectory for everything.
 """
 
 from __future__ import annotations
@@ -27,13 +25,15 @@ FEATURE_COLUMNS = [f"feature_{i}" for i in range(12)]
 MIN_FEATURE_POINTS = 3
 
 
-def step_kinematics(points: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
+def step_kinematics(points: DataFrame, bucket_s: int = DEFAULT_BUCKET_S, keep_bucket: bool = False,
+                    carry: tuple[str, ...] = ()) -> DataFrame:
     """STEP_KINEMATICS + STEP_ACCEL: one row per point after the first.
 
-    Columns added: ``step_m, dt_s, v, acc`` (acc of the first step is 0).
+    Columns added: ``step_m, dt_s, v, acc`` (acc of the first step is 0) and
+    ``p_<c>`` for every column in ``carry`` (value at the previous point).
     """
     d = points.withColumn("_bkt", time_bucket("ts", bucket_s)).repartition("unique_id", "_bkt")
-    d = with_previous(d, ["unique_id"], ["ts"], ["lat", "lon", "ts"], prefix="p_", bucket_s=bucket_s)
+    d = with_previous(d, ["unique_id"], ["ts"], ["lat", "lon", "ts", *carry], prefix="p_", bucket_s=bucket_s)
     steps = (d.where(F.col("p_ts").isNotNull())
               .withColumn("step_m", haversine_m("p_lat", "p_lon", "lat", "lon"))
               .withColumn("dt_s", F.greatest(duration_s("p_ts", "ts"), F.lit(MIN_STEP_S)))
@@ -43,21 +43,16 @@ def step_kinematics(points: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> Data
     acc = (F.when(F.col("q_v").isNull(), F.lit(0.0))
             .when(mean_dt > MIN_STEP_S, (F.col("v") - F.col("q_v")) / mean_dt)
             .otherwise(F.lit(0.0)))
-    return steps.withColumn("acc", acc).drop("p_lat", "p_lon", "p_ts", "q_v", "q_dt_s", "_bkt")
+    out = steps.withColumn("acc", acc).drop("p_lat", "p_lon", "q_v", "q_dt_s")
+    return out if keep_bucket else out.drop("_bkt")
 
 
-def _top3(steps: DataFrame, value: str, prefix: str) -> DataFrame:
-    """TOP3_*: three largest finite values per trajectory, first as fallback."""
-    w = Window.partitionBy("unique_id").orderBy(F.col(value).desc())
-    top = (steps.where(F.col(value).isNotNull())
-                .withColumn("_r", F.row_number().over(w))
-                .where(F.col("_r") <= 3))
-    g = top.groupBy("unique_id").agg(*[F.max(F.when(F.col("_r") == i, F.col(value))).alias(f"_{prefix}{i}")
-                                        for i in (1, 2, 3)])
-    return g.select("unique_id",
-                    F.col(f"_{prefix}1").alias(f"{prefix}1"),
-                    F.coalesce(f"_{prefix}2", f"_{prefix}1").alias(f"{prefix}2"),
-                    F.coalesce(f"_{prefix}3", f"_{prefix}1").alias(f"{prefix}3"))
+def _top3_parts(col: str, prefix: str) -> list:
+    """Top-3 of per-bucket candidates, first value as fallback (TOP3_*)."""
+    top = F.slice(F.sort_array(F.collect_list(F.when(F.col(f"_r_{prefix}") <= 3, F.col(col))), False), 1, 3)
+    return [F.get(top, 0).alias(f"{prefix}1"),
+            F.coalesce(F.get(top, 1), F.get(top, 0)).alias(f"{prefix}2"),
+            F.coalesce(F.get(top, 2), F.get(top, 0)).alias(f"{prefix}3")]
 
 
 def kinematic_features(clean: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
@@ -65,27 +60,29 @@ def kinematic_features(clean: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> Da
 
     Rows with no transport mode are dropped first; ``label`` is the mode of the
     earliest point (FIRST_LABEL).
+
+    One shuffle of the points on ``(unique_id, hour)`` feeds both previous-row
+    passes and the per-hour top-3 candidates (windows on the same partitioning);
+    then a single ``groupBy(unique_id)`` computes everything with partial
+    aggregation. The top-3 lists gather at most 3 values per hour of a
+    trajectory, never its points.
     """
     pts = clean.where(F.col("transport_mode").isNotNull())
-    per_traj = pts.groupBy("unique_id").agg(
-        F.count(F.lit(1)).alias("n_points"),
-        F.min_by("transport_mode", "ts").alias("label"),
-        duration_s(F.min("ts"), F.max("ts")).alias("duration_s"))
-
-    steps = step_kinematics(pts, bucket_s).withColumns({
+    steps = step_kinematics(pts, bucket_s, keep_bucket=True, carry=("transport_mode",)).withColumns({
         "v_ok": finite_or_null("v"), "a_ok": F.abs(finite_or_null("acc"))})
-    moments = steps.groupBy("unique_id").agg(
+    wb = Window.partitionBy("unique_id", "_bkt")
+    steps = (steps.withColumn("_r_v", F.row_number().over(wb.orderBy(F.col("v_ok").desc_nulls_last())))
+                  .withColumn("_r_a", F.row_number().over(wb.orderBy(F.col("a_ok").desc_nulls_last()))))
+    g = steps.groupBy("unique_id").agg(
+        (F.count(F.lit(1)) + 1).alias("n_points"),
+        F.min_by("p_transport_mode", "p_ts").alias("label"),
+        duration_s(F.min("p_ts"), F.max("ts")).alias("duration_s"),
         F.sum("step_m").alias("length_m"),
         F.avg("v_ok").alias("v_mean"),
         F.var_pop("v_ok").alias("v_var"),
-        F.avg("a_ok").alias("a_mean"))
-    tv = _top3(steps, "v_ok", "v")
-    ta = _top3(steps, "a_ok", "a")
-
-    j = (per_traj.where(F.col("n_points") >= MIN_FEATURE_POINTS)
-                 .join(moments, "unique_id", "left")
-                 .join(tv, "unique_id", "left")
-                 .join(ta, "unique_id", "left"))
+        F.avg("a_ok").alias("a_mean"),
+        *_top3_parts("v_ok", "v"), *_top3_parts("a_ok", "a"))
+    j = g.where(F.col("n_points") >= MIN_FEATURE_POINTS)
     zero = F.col("duration_s") <= MIN_STEP_S
     vals = [F.col("length_m"), F.coalesce("v1", F.lit(0.0)), F.coalesce("v2", F.lit(0.0)),
             F.coalesce("v3", F.lit(0.0)), F.coalesce("v_mean", F.lit(0.0)),
