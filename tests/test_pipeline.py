@@ -80,3 +80,23 @@ def test_entry_runs(spark):
     df = entry(spark)
     assert df.count() > 0
     assert "feature_11" in df.columns
+
+
+def test_clean_same_for_any_partition_count(spark):
+    ev = D.read_table(spark, SF_SMALL, "events")
+    outs = []
+    for n in (1, 4, 200):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        m = match_points(D.derive_points(ev), D.derive_labels(ev))
+        outs.append(sorted(clean_points(m).select("unique_id", "ts", "lat").collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert outs[0] == outs[1] == outs[2]
+
+
+def test_first_label_skips_null_mode(spark):
+    from trackwise.operators.sequence import first_label
+    t = datetime(2024, 1, 5)
+    df = spark.createDataFrame([("x", t, None), ("x", t + timedelta(seconds=1), "bus"),
+                                ("x", t + timedelta(seconds=2), "car")],
+                               "unique_id string, ts timestamp_ntz, transport_mode string")
+    assert first_label(df).first().label == "bus"
