@@ -6,14 +6,15 @@ helpers here split each key into time buckets:
 
 1. the ordered window runs per ``(key, bucket)``: many small, bounded groups;
 2. one row per ``(key, bucket)`` carries what crosses the bucket edge (the
-   bucket's last row, or its total), read off the same window, so the shuffle
-   of the big table is done once and reused by both branches;
+   bucket's last row, or its total), read off a window on the same
+   partitioning (Catalyst prunes this branch to the key, bucket and carried
+   columns, so its shuffle is narrow);
 3. a window per key over that small bucket table passes the carry forward;
 4. an equi-join on ``(key, bucket)`` fixes up the first row of each bucket.
 
-The big table is shuffled once, on ``(key, bucket)``; the later window on the
-same keys reuses that partitioning. The results equal the plain per-key
-window exactly, for any bucket width.
+The wide rows are shuffled once, on ``(key, bucket)``; the fix-up join with the
+small carry table needs no further movement of them. The results equal the
+plain per-key window exactly, for any bucket width.
 """
 
 from __future__ import annotations
