@@ -116,8 +116,9 @@ def random_forest_search(train: DataFrame, feature_cols: list[str], parallelism:
             .addGrid(rf.maxDepth, [d if d is not None else UNBOUNDED_DEPTH for d in RF_GRID["maxDepth"]])
             .addGrid(rf.minInstancesPerNode, [max(1, m // 2) for m in RF_GRID["min_samples_split"]])
             .build())
+    # the fits are small jobs: run the whole grid of a fold at once
     cv = CrossValidator(estimator=Pipeline(stages=[asm, rf]), estimatorParamMaps=grid, evaluator=_evaluator(),
-                        foldCol="fold", parallelism=parallelism, seed=CLASSICAL_SEED)
+                        foldCol="fold", parallelism=max(parallelism, len(grid)), seed=CLASSICAL_SEED)
     return cv.fit(train), grid
 
 
