@@ -48,9 +48,22 @@ def test_geojson_collection(spark, tmpdir_path):
               '{"type":"Feature","properties":{"railway":"subway","ref":5},"geometry":{"type":"LineString",'
               '"coordinates":[[116.3,39.9],[116.4,39.95]]}},'
               '{"type":"Feature","properties":{},"geometry":{"type":"Polygon",'
-              '"coordinates":[[[116.0,39.0],[117.0,39.0],[117.0,40.0],[116.0,39.0]]]}}]}')
+              '"coordinates":[[[116.0,39.0],[117.0,39.0],[117.0,40.0],[116.0,39.0]]]}},'
+              '{"type":"Feature","properties":{},"geometry":{"type":"MultiLineString",'
+              '"coordinates":[[[116.1,39.1],[116.2,39.2]],[[116.5,39.5],[116.6,39.7]]]}},'
+              '{"type":"Feature","properties":{},"geometry":{"type":"MultiPolygon",'
+              '"coordinates":[[[[1,1],[2,1],[2,2],[1,1]]],[[[5,5],[6,5],[6,6],[5,5]]]]}}]}')
     g = FS.read_geojson(spark, p, "mixed").orderBy("geom_type").collect()
-    assert [r.geom_type for r in g] == ["LineString", "Point", "Polygon"]
+    assert [r.geom_type for r in g] == ["LineString", "MultiLineString", "MultiPolygon", "Point", "Polygon"]
+    assert len(g[1].parts) == 2 and g[1].maxy == 39.7
+    assert len(g[2].parts) == 2 and len(g[2].coords) == 8 and g[2].maxx == 6.0
+    # a box inside the first ring of the multipolygon meets it; one between the rings does not
+    from pyspark.sql import functions as F
+    from trackwise.operators.context import intersects_box
+    mp = FS.read_geojson(spark, p, "mixed").where("geom_type = 'MultiPolygon'")
+    hit = mp.select(intersects_box(F.lit(1.4), F.lit(1.1), F.lit(1.5), F.lit(1.2), parts="parts")).first()[0]
+    miss = mp.select(intersects_box(F.lit(3.0), F.lit(3.0), F.lit(4.0), F.lit(4.0), parts="parts")).first()[0]
+    assert hit and not miss
     assert g[0].tags["ref"] == "5" and g[0].maxx == 116.4
     missing = FS.read_geojson(spark, os.path.join(tmpdir_path, "nope.geojson"), "x")
     assert missing.count() == 0
