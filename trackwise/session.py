@@ -84,3 +84,34 @@ def materialize(df: DataFrame, name: str, reuse_key: str | None = None) -> DataF
     if reuse_key is not None:
         _MATERIALIZED[(app, reuse_key)] = path
     return spark.read.parquet(path)
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (file-system metadata only)."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        for st in fs.globStatus(path) or []:
+            total += int(fs.getContentSummary(st.getPath()).getLength())
+    return total
+
+
+def size_shuffles(spark: SparkSession, paths: list[str], target_partition_bytes: int = 256 << 20,
+                  min_partitions: int | None = None, max_partitions: int = 100_000) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the input size.
+
+    About one shuffle partition per ``target_partition_bytes`` of input (so a
+    partition's sort/aggregate state fits executor memory), at least twice the
+    default parallelism; AQE then coalesces small ones toward the same advisory
+    size and splits skewed ones. 100 TB gives ~400k, capped at ``max_partitions``.
+    """
+    n_in = input_bytes(spark, paths)
+    floor_n = min_partitions or 2 * spark.sparkContext.defaultParallelism
+    n = max(floor_n, min(max_partitions, n_in // target_partition_bytes + 1))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(min(target_partition_bytes, 256 << 20)))
+    return n
