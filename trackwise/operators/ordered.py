@@ -6,9 +6,9 @@ helpers here split each key into time buckets:
 
 1. the ordered window runs per ``(key, bucket)``: many small, bounded groups;
 2. one row per ``(key, bucket)`` carries what crosses the bucket edge (the
-   bucket's last row, or its total), read off a window on the same
-   partitioning (Catalyst prunes this branch to the key, bucket and carried
-   columns, so its shuffle is narrow);
+   bucket's last row, or its total), built by a partial aggregation that is
+   combined map-side, so this branch shuffles about one row per bucket and map
+   task, not one per input row;
 3. a window per key over that small bucket table passes the carry forward;
 4. an equi-join on ``(key, bucket)`` fixes up the first row of each bucket.
 
@@ -47,15 +47,14 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols
     cols = list(cols)
     has_bucket = bucket_col in df.columns
     d = df if has_bucket else df.withColumn(bucket_col, time_bucket(order[0], bucket_s))
+    # one row per bucket: its last row (partial aggregation, combined map-side)
+    last = (d.groupBy(*keys, bucket_col)
+             .agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_last")))
     w_in = Window.partitionBy(*keys, bucket_col).orderBy(*order)
-    w_all = w_in.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     d = d.withColumn("_rn_in", F.row_number().over(w_in))
-    d = d.withColumn("_last", F.last(F.struct(*cols)).over(w_all))
     for c in cols:
         d = d.withColumn(prefix + c, F.lag(c).over(w_in))
 
-    # one row per bucket: its last row, passed on to the next bucket of the key
-    last = d.where(F.col("_rn_in") == 1).select(*keys, bucket_col, "_last")
     w_b = Window.partitionBy(*keys).orderBy(bucket_col)
     carry = (last.withColumn("_carry", F.lag("_last").over(w_b))
                  .where(F.col("_carry").isNotNull())
@@ -66,7 +65,7 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols
     for c in cols:
         out = out.withColumn(prefix + c,
                              F.when(first, F.col("_carry." + c)).otherwise(F.col(prefix + c)))
-    out = out.drop("_carry", "_rn_in", "_last")
+    out = out.drop("_carry", "_rn_in")
     return out if has_bucket else out.drop(bucket_col)
 
 
@@ -84,15 +83,13 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     order = list(order)
     b = bucket if bucket is not None else time_bucket(order[0], bucket_s)
     d = df.withColumn(bucket_col, b)
+    # bucket totals: partial aggregation, combined map-side
+    tots = d.groupBy(*keys, bucket_col).agg(
+        *[F.sum(in_c).alias("_tot_" + out_c) for out_c, in_c in values.items()])
     w_ord = Window.partitionBy(*keys, bucket_col).orderBy(*order)
     w_in = w_ord.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_all = w_ord.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    d = d.withColumn("_rn_in", F.row_number().over(w_ord))
     for out_c, in_c in values.items():
         d = d.withColumn("_in_" + out_c, F.sum(in_c).over(w_in))
-        d = d.withColumn("_tot_" + out_c, F.sum(in_c).over(w_all))
-    tots = d.where(F.col("_rn_in") == 1).select(
-        *keys, bucket_col, *["_tot_" + o for o in values])
     w_b = (Window.partitionBy(*keys).orderBy(bucket_col)
            .rowsBetween(Window.unboundedPreceding, -1))
     offs = tots.select(*keys, bucket_col,
@@ -101,5 +98,5 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     out = d.join(offs, on=[*keys, bucket_col], how="inner")
     for o in values:
         out = (out.withColumn(o, F.col("_in_" + o) + F.col("_off_" + o))
-                  .drop("_in_" + o, "_off_" + o, "_tot_" + o))
-    return out.drop(bucket_col, "_rn_in")
+                  .drop("_in_" + o, "_off_" + o))
+    return out.drop(bucket_col)
