@@ -7,7 +7,9 @@ one of two sets changes the word of one part: the number of differing parts is
 at most the symmetric difference, which for similarity t and sizes a, b is at
 most (1-t)/(1+t) * (a+b). With more filled parts than that bound, two similar
 sets agree in at least one filled part (pigeonhole); sets with too few filled
-parts also emit each shingle alone. So no similar pair is missed. Documents emit
+parts also emit each shingle alone. So no similar pair is missed. The same count bounds the
+words that a set shares with any set it resembles: sets that share fewer go
+before anything else is read about them. Documents emit
 words in the space of their own band and of the band above; bands are so wide
 that two similar sets are at most one band apart.
 
@@ -66,16 +68,21 @@ def _bands(largest: int, t: tuple[int, int]) -> np.ndarray:
     return np.array(lows, dtype=np.int64)
 
 
-def part_words(sets: np.ndarray, edge: np.ndarray, t: tuple[int, int] = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
-    """(words, set index) emitted by each of the sets ``sets[edge[i]:edge[i+1]]``
-    (sorted 64-bit hashes)."""
+def part_words(sets: np.ndarray, edge: np.ndarray,
+               t: tuple[int, int] = THRESHOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, set index, space, least) emitted by each of the sets
+    ``sets[edge[i]:edge[i+1]]`` (sorted 64-bit hashes). Space 0: own band, 1: the
+    band above, 2: single shingles. ``least[i, space]``: how many of its words of
+    that space a set shares at least with any set that it resembles and meets
+    there (its filled parts less the largest possible difference)."""
     size = np.diff(edge)
+    least = np.ones((len(size), 3), dtype=np.int64)
     if not len(sets):
-        return np.zeros(0, dtype=U), np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=U), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), least
     lows = _bands(int(size.max()), t)
     owner = np.repeat(np.arange(len(size)), size)
     body = mix(sets + U(0x9E3779B97F4A7C15))
-    words, owners, thin = [], [], np.zeros(len(size), dtype=bool)
+    words, owners, spaces, thin = [], [], [], np.zeros(len(size), dtype=bool)
     for up in (0, 1):
         band = np.searchsorted(lows, size, side="right") - 1 + up
         band = np.maximum(band, 0)
@@ -92,11 +99,14 @@ def part_words(sets: np.ndarray, edge: np.ndarray, t: tuple[int, int] = THRESHOL
         owners.append(who)
         filled = np.bincount(who, minlength=len(size))
         partner = np.minimum(top, t[1] * size // t[0])
+        spaces.append(np.full(len(at), up))
+        least[:, up] = np.maximum(filled - _diff_bound(size + partner, t), 1)
         thin |= filled < _diff_bound(size + partner, t) + 1
     alone = thin[owner]
     words.append(mix(sets[alone] ^ _ALONE))
     owners.append(owner[alone])
-    return np.concatenate(words), np.concatenate(owners)
+    spaces.append(np.full(int(alone.sum()), 2))
+    return np.concatenate(words), np.concatenate(owners), np.concatenate(spaces), least
 
 
 def bit_sketch(hashes: np.ndarray) -> bytes:
@@ -147,10 +157,10 @@ def _word_rows(k: int, t: tuple[int, int], buckets: int):
             rows: dict[str, list] = {"bucket": [], "words": [], "who": [], "docs": []}
             for i in np.flatnonzero(np.diff(cut)).tolist():
                 a, z = int(cut[i]), int(cut[i + 1])
-                own, local = np.unique(who[a:z], return_inverse=True)
+                own, local = np.unique(who[a:z] >> 2, return_inverse=True)
                 rows["bucket"].append(i)
                 rows["words"].append(low[a:z].tobytes())
-                rows["who"].append(local.astype(np.uint32 if len(own) > 65535 else np.uint16).tobytes())
+                rows["who"].append((local * 4 + (who[a:z] & 3)).astype(np.uint32 if len(own) > 16383 else np.uint16).tobytes())
                 rows["docs"].append(doc[own].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows["bucket"], pa.int32())] + [pa.array(rows[c], pa.binary()) for c in ("words", "who", "docs")],
@@ -159,16 +169,14 @@ def _word_rows(k: int, t: tuple[int, int], buckets: int):
         for b in batches:
             for lo, hi, data, offs in row_chunks(b.column(1)):
                 h, edge = shingle_sets(Words(data, offs, True), k)
-                w, who = part_words(h, edge, t)
-                held.append((w, who + docs))
+                w, who, space, least = part_words(h, edge, t)
                 id_ = b.column(0).slice(lo, hi - lo)
-                keep = ~np.asarray(id_.is_null())
-                if not keep.all():
-                    held[-1] = (w[keep[who]], held[-1][1][keep[who]])
+                known = ~np.asarray(id_.is_null())[who]
+                held.append((w[known], ((who + docs) * 4 + space)[known]))
                 f = np.zeros(len(h) + 1, dtype=U)
                 np.cumsum(mix(h), out=f[1:])
                 ids.append(np.stack([id_.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64),
-                                     (f[edge[1:]] - f[edge[:-1]]).view(np.int64)], axis=1))
+                                     (f[edge[1:]] - f[edge[:-1]]).view(np.int64), *least.T], axis=1))
                 docs += hi - lo
                 count += len(w)
                 if count >= FLUSH_WORDS:
@@ -178,36 +186,44 @@ def _word_rows(k: int, t: tuple[int, int], buckets: int):
 
 
 def _shared_words(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: words held by several classes, one row per class
-    (its smallest doc_id), with the smallest doc_id of the word."""
-    words, info = [], []
+    """Of one bucket: words held by several classes, one row per class (its
+    smallest doc_id), with the space and the shared words that it needs there."""
+    words, tags, info = [], [], []
     for w, who, docs in zip(pdf["words"], pdf["who"], pdf["docs"]):
         w = np.frombuffer(w, dtype=np.uint32)
         who = np.frombuffer(who, dtype=np.uint16 if len(who) == 2 * len(w) else np.uint32)
         words.append(w)
-        info.append(np.frombuffer(docs, dtype=np.int64).reshape(-1, 2)[who])
-    w, info = np.concatenate(words), np.concatenate(info)
+        tags.append(who & 3)
+        info.append((np.frombuffer(docs, dtype=np.int64).reshape(-1, 5), who >> 2))
+    w, tag = np.concatenate(words), np.concatenate(tags).astype(np.int64)
     order = np.argsort(w, kind="stable")
     sw = w[order]
     twice = np.zeros(len(w), dtype=bool)
     same = sw[1:] == sw[:-1]
     twice[1:] = same
     twice[:-1] |= same
-    w, info = sw[twice], info[order[twice]]
-    order = np.lexsort((info[:, 0], info[:, 1], w))
-    w, info = w[order], info[order]
+    at = np.sort(order[twice])
+    w, tag = w[at], tag[at]
+    cut = np.searchsorted(at, np.cumsum([0] + [len(x) for x in words]))
+    base = np.cumsum([0] + [len(x) for x in words])
+    doc, f, least = [], [], []
+    for i, (docs, who) in enumerate(info):
+        a, z = cut[i], cut[i + 1]
+        row = docs[who[at[a:z] - base[i]]]
+        doc.append(row[:, 0])
+        f.append(row[:, 1])
+        least.append(row[np.arange(z - a), 2 + tag[a:z]])
+    doc, f, least = np.concatenate(doc), np.concatenate(f), np.concatenate(least)
+    order = np.lexsort((doc, f, w))
+    w, tag, doc, f, least = w[order], tag[order], doc[order], f[order], least[order]
     first = np.ones(len(w), dtype=bool)
-    first[1:] = (w[1:] != w[:-1]) | (info[1:, 1] != info[:-1, 1])
-    w, doc = w[first], info[first, 0]
-    if not len(w):
-        return pd.DataFrame({"word": [], "doc": [], "hub": []}).astype("int64")
-    at = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
-    size = np.diff(np.append(at, len(w)))
-    hub = np.repeat(np.minimum.reduceat(doc, at), size)
-    many = np.repeat(size > 1, size)
-    bucket = int(pdf["bucket"].iloc[0])
-    return pd.DataFrame({"word": (w[many].astype(np.int64) | (np.int64(bucket) << np.int64(32))),
-                         "doc": doc[many], "hub": hub[many]})
+    first[1:] = (w[1:] != w[:-1]) | (f[1:] != f[:-1])
+    w, tag, doc, least = w[first], tag[first], doc[first], least[first]
+    at = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]])[:len(w)])
+    many = np.repeat(np.diff(np.append(at, len(w))) > 1, np.diff(np.append(at, len(w))))
+    bucket = np.int64(pdf["bucket"].iloc[0]) << np.int64(32)
+    return pd.DataFrame({"word": w[many].astype(np.int64) | bucket, "doc": doc[many],
+                         "space": tag[many], "least": least[many]})
 
 
 def _full_sets(k: int):
@@ -305,8 +321,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sized = materialize(docs.mapInArrow(_set_rows(k), "doc_id long, n_shingles long, f1 long, f2 long"), "sets")
     buckets = max(256, 8 * shuffle_partitions(spark))
     words = docs.mapInArrow(_word_rows(k, t, buckets), "bucket int, words binary, who binary, docs binary")
-    shared = materialize(words.groupBy("bucket").applyInPandas(_shared_words, "word long, doc long, hub long"), "shared")
-    wanted = shared.select(F.col("doc").alias("doc_id")).distinct()
+    shared = materialize(words.groupBy("bucket").applyInPandas(
+        _shared_words, "word long, doc long, space long, least long"), "shared")
+    # a set that shares too few words of a space resembles none that it meets there
+    enough = shared.groupBy("doc", "space").agg(F.count("*").alias("n"), F.max("least").alias("least")).where("n >= least")
+    shared = shared.select("word", "doc", "space").join(enough.select("doc", "space"), ["doc", "space"], "left_semi").select("word", "doc")
+    hubs = shared.groupBy("word").agg(F.min("doc").alias("hub"), F.max("doc").alias("last")).where("hub <> last").select("word", "hub")
+    shared = materialize(shared.join(hubs, "word"), "shared")
+    wanted = materialize(shared.select(F.col("doc").alias("doc_id")).distinct(), "wanted")
     sets = docs.join(wanted, "doc_id").mapInArrow(_full_sets(k), "doc long, hashes binary, sketch binary")
     sets = materialize(sets.dropDuplicates(["doc"]), "full_sets")
 

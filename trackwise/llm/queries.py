@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
 from .jaccard import near_duplicates
+from .packing import pack
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,3 +24,14 @@ def register(fn):
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place."""
+    return pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
