@@ -17,6 +17,10 @@ Repeated rows are packed each on their own. Extra columns are ignored by
 from __future__ import annotations
 
 import bisect
+import re
+import struct
+import sys
+import types
 import zlib
 from collections.abc import Iterator
 
@@ -30,7 +34,7 @@ from .common import materialize, shuffle_partitions
 MAX_TOKENS = 4096
 END_ID = 1
 #: Words whose ids a task remembers, in each of two generations.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 #: Words tokenised together.
 BATCH_WORDS = 4096
 
@@ -38,37 +42,65 @@ BATCH_WORDS = 4096
 class WordTokens:
     """Ids of white-space separated words as little-endian uint32 bytes.
 
-    For tokenizers that drop white space (each word is encoded on its own).
-    Unknown words are encoded together, an added token between them. Two
+    For byte-level BPE tokenizers that lower-case, drop white space and split
+    letters from punctuation. A word of Latin letters, perhaps with ASCII
+    punctuation behind it, goes straight to the BPE model (normalising and splitting
+    would leave its letters as they are); other words go through the whole
+    tokenizer, several at a time with an added token between them. Two
     generations of remembered words bound the memory.
     """
 
+    PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
+
     def __init__(self, path: str, separator: str = "<|endoftext|>"):
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
         self.separator, self.separator_id = separator, self.model.token_to_id(separator)
+        # printable bytes stand for themselves, the others for code points from 256 on
+        kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in kept]
+        self.byte_chars = {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(rest)}
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self.separator not in w]
+        others = []
+        tokenize, table = self.model.model.tokenize, self.byte_chars
+        for w in words:
+            m = self.PLAIN.fullmatch(w)
+            if not m:
+                others.append(w)
+                continue
+            letters = m[1].lower()
+            if not letters.isascii():
+                letters = "".join(map(table.__getitem__, letters.encode()))
+            ids = [x.id for x in tokenize(letters)]
+            if m[2]:
+                ids += [x.id for x in tokenize(m[2])]
+            self.new[w] = struct.pack(f"<{len(ids)}I", *ids)
+        plain = [w for w in others if self.separator not in w]
         for i in range(0, len(plain), BATCH_WORDS):
             part = plain[i:i + BATCH_WORDS]
             ids = np.array(self.model.encode(self.separator.join(part), add_special_tokens=False).ids, dtype="<u4")
             cut = np.concatenate([[-1], np.flatnonzero(ids == self.separator_id), [len(ids)]]).tolist()
             for w, a, z in zip(part, cut[:-1], cut[1:]):
                 self.new[w] = ids[a + 1:z].tobytes()
-        for w in words:
+        for w in others:
             if self.separator in w:
                 self.new[w] = np.array(self.model.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.split() for t in texts]
         new = self.new
-        unknown = set().union(*split) - new.keys() if split else set()
-        for w in unknown & self.old.keys():
-            new[w] = self.old[w]
-        self._learn(sorted(unknown - self.old.keys()))
+        unseen = []
+        for w in set().union(*split):
+            if w not in new:
+                ids = self.old.get(w)
+                if ids is None:
+                    unseen.append(w)
+                else:
+                    new[w] = ids
+        self._learn(unseen)
         out = [b"".join(map(new.__getitem__, ws)) for ws in split]
         if len(new) > CACHE_WORDS:
             self.old, self.new = new, {}
@@ -77,7 +109,10 @@ class WordTokens:
 
 def _piece_rows(path: str, max_tokens: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(path)
+        # kept by the worker process, so later tasks find the words of earlier ones
+        memo = sys.modules.setdefault("_worker_memo", types.ModuleType("_worker_memo")).__dict__
+        tokens = memo.setdefault(("words", path), None) or WordTokens(path)
+        memo[("words", path)] = tokens
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
