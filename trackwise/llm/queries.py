@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import read_table
 from .jaccard import near_duplicates
 from .packing import pack
+from .repeats import cut_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,6 +33,12 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@register
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 of every document."""
+    return cut_repeats(read_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
