@@ -5,12 +5,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read_table
 from .jaccard import near_duplicates
 from .packing import pack
+from .pii import BASE_KINDS, find_pii
 from .repeats import cut_repeats
+from .spans import span_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +24,20 @@ def register(fn):
     return fn
 
 
+def _of_kind(spans: str, *kinds: str) -> Column:
+    return F.filter(F.col(spans), lambda s: s["kind"].isin(*kinds))
+
+
+@register
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the base kinds, digest of the base spans and all spans of every document."""
+    found = find_pii(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "found")
+    return found.select(
+        "doc_id", *(F.size(_of_kind("found", k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS),
+        F.sha2(span_text(_of_kind("found", *BASE_KINDS)), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"),
+        F.round(F.coalesce(F.array_max(F.transform("found", lambda s: s["score"])), F.lit(0.0)), 4).alias("top_score"))
+
+
 @register
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
