@@ -8,10 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import pii, secrets
 from .common import read_table
 from .jaccard import near_duplicates
 from .packing import pack
-from .pii import BASE_KINDS, find_pii
+
 from .repeats import cut_repeats
 from .spans import span_text
 
@@ -31,10 +32,10 @@ def _of_kind(spans: str, *kinds: str) -> Column:
 @register
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of the base kinds, digest of the base spans and all spans of every document."""
-    found = find_pii(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "found")
+    found = pii.find_pii(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "found")
     return found.select(
-        "doc_id", *(F.size(_of_kind("found", k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS),
-        F.sha2(span_text(_of_kind("found", *BASE_KINDS)), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"),
+        "doc_id", *(F.size(_of_kind("found", k)).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS),
+        F.sha2(span_text(_of_kind("found", *pii.BASE_KINDS)), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"),
         F.round(F.coalesce(F.array_max(F.transform("found", lambda s: s["score"])), F.lit(0.0)), 4).alias("top_score"))
 
 
@@ -44,6 +45,17 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@register
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the base kinds, digest of the base spans and all spans of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, secrets.train(docs), "text", "found")
+    return found.select(
+        "doc_id", *(F.size(_of_kind("found", k)).cast("long").alias(f"n_{k}") for k in secrets.BASE_KINDS),
+        F.sha2(span_text(_of_kind("found", *secrets.BASE_KINDS)), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"),
+        F.coalesce(F.array_max(F.transform("found", lambda s: s["score"])), F.lit(0.0)).alias("top_score"))
+
+
 @register
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place."""
