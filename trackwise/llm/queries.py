@@ -8,11 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pii, secrets
+from . import licenses, pii, secrets
 from .common import read_table
+from .decontam import contained_items
 from .jaccard import near_duplicates
 from .packing import pack
-
 from .repeats import cut_repeats
 from .spans import span_text
 
@@ -68,6 +68,26 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_repeats(read_table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@register
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document contains."""
+    return contained_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, base places, labels and score of every document."""
+    found = licenses.find_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base, marks = F.col("base"), F.col("marks")
+    starts = F.transform(base, lambda b: b["start"])
+    names = F.transform(base, lambda b: b["label"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), F.array_join(F.array_sort(F.array_distinct(names)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(F.concat(names, F.transform(marks, lambda m: m["label"])))), ",").alias("labels"),
+        licenses.license_score(base, marks).alias("score"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")

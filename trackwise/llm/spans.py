@@ -35,11 +35,12 @@ def running_totals(values: Column) -> Column:
 
 
 def with_matches(df: DataFrame, text: str, out: str, pattern: str, gate: Column | None = None,
-                 group: int | None = None, context: int = CONTEXT) -> DataFrame:
+                 group: int | None = None, context: int = CONTEXT, measure=F.length) -> DataFrame:
     """Adds ``out``: array of struct(start, end, value, part, before, after) of the
     leftmost non-overlapping matches; ``part`` is the given group (or the whole
     match), ``before``/``after`` the neighbouring text as far as the next match.
-    ``gate``: rows to search (a cheap necessary condition); others get no match."""
+    ``gate``: rows to search (a cheap necessary condition); others get no match.
+    ``measure``: what places count, by default code points."""
     found, gaps, parts, at = (f"__{out}_{c}" for c in ("found", "gaps", "parts", "at"))
     gate = F.lit(True) if gate is None else gate
     t = F.col(text)
@@ -49,12 +50,12 @@ def with_matches(df: DataFrame, text: str, out: str, pattern: str, gate: Column
     if group is not None:
         df = df.withColumn(parts, F.when(some, F.regexp_extract_all(t, F.lit(pattern), F.lit(group))))
     df = df.withColumn(at, F.when(some, running_totals(F.zip_with(
-        found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.length(m) + F.length(g)))))
+        found, F.slice(gaps, 1, F.size(found)), lambda m, g: measure(m) + measure(g)))))
     piece = (lambda i, m: F.get(parts, i)) if group is not None else (lambda i, m: m)
 
     def place(m: Column, i: Column) -> Column:
-        start = F.get(at, i) + F.length(F.get(gaps, i))
-        return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("value"), piece(i, m).alias("part"),
+        start = F.get(at, i) + measure(F.get(gaps, i))
+        return F.struct(start.alias("start"), (start + measure(m)).alias("end"), m.alias("value"), piece(i, m).alias("part"),
                         F.right(F.get(gaps, i), F.lit(context)).alias("before"),
                         F.left(F.get(gaps, i + 1), F.lit(context)).alias("after"))
 
