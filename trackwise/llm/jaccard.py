@@ -15,9 +15,9 @@ that two similar sets are at most one band apart.
 
 Part words travel as packed arrays, one row per chunk of documents and bucket of
 words. Documents that share a word are candidates; no pairs are listed within a
-group: first every document is checked against the smallest id it meets, then
-against the smallest ids of the groups that still hold several components, and
-last across components only, where parity bit sketches (Hamming distance is at
+group: first every document is checked against the best hub it meets (the
+document that shares most words), then against the hubs of the words that still
+join several components, and last across components only, where parity bit sketches (Hamming distance is at
 most the symmetric difference) discard pairs before the exact check. The exact
 check compares shingle hashes (64 bits).
 
@@ -45,9 +45,11 @@ SHINGLE_WORDS = 5
 #: Similarity threshold as a fraction num / den.
 THRESHOLD = (75, 100)
 #: Part words that a task holds before it writes them out.
-FLUSH_WORDS = 1_000_000
+FLUSH_WORDS = 2_000_000
 #: Documents checked against one hub in one task.
 HUB_BLOCK = 256
+#: Bits of the map of the documents whose sets are read (a fixed megabyte).
+FILTER_BITS = 1 << 23
 #: 64-bit sketch words compared at a time.
 SKETCH_CELLS = 2_000_000
 _ALONE = U(0x5851F42D4C957F2D)
@@ -110,13 +112,13 @@ def part_words(sets: np.ndarray, edge: np.ndarray,
 
 
 def bit_sketch(hashes: np.ndarray) -> bytes:
-    """Parity bits: each shingle flips one; about two bits per shingle, a power of two."""
-    bits = 1 << max(6, int(2 * len(hashes) - 1).bit_length())
+    """Parity bits: each shingle flips one; 8 to 16 bits per shingle, a power of two."""
+    bits = 1 << max(6, int(8 * len(hashes) - 1).bit_length())
     flips = np.bincount((mix(hashes ^ U(0x2545F4914F6CDD1D)) & U(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((flips & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def _set_rows(k: int):
+def _set_rows(k: int, t: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, data, offs in row_chunks(b.column(1)):
@@ -127,9 +129,10 @@ def _set_rows(k: int):
                 np.cumsum(mix(h), out=f[0, 1:])
                 np.cumsum(mix(h ^ _ALONE), out=f[1, 1:])
                 f = (f[:, edge[1:]] - f[:, edge[:-1]]).view(np.int64)
+                least = part_words(h, edge, t)[3]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(f[0]), pa.array(f[1])],
-                    names=["doc_id", "n_shingles", "f1", "f2"])
+                    [b.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(f[0]), pa.array(f[1]),
+                     pa.array(least[:, 0]), pa.array(least[:, 1])], names=["doc_id", "n_shingles", "f1", "f2", "least0", "least1"])
     return run
 
 
@@ -154,29 +157,30 @@ def _word_rows(k: int, t: tuple[int, int], buckets: int):
             cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
             low = (w & U(0xFFFFFFFF)).astype(np.uint32)[order]
             who = who[order]
-            rows: dict[str, list] = {"bucket": [], "words": [], "who": [], "docs": []}
+            rows: dict[str, list] = {"bucket": [], "words": [], "who": [], "docs": [], "sets": []}
             for i in np.flatnonzero(np.diff(cut)).tolist():
                 a, z = int(cut[i]), int(cut[i + 1])
                 own, local = np.unique(who[a:z] >> 2, return_inverse=True)
                 rows["bucket"].append(i)
                 rows["words"].append(low[a:z].tobytes())
                 rows["who"].append((local * 4 + (who[a:z] & 3)).astype(np.uint32 if len(own) > 16383 else np.uint16).tobytes())
-                rows["docs"].append(doc[own].tobytes())
+                rows["docs"].append(doc[own, 0].tobytes())
+                rows["sets"].append(doc[own, 1].astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows["bucket"], pa.int32())] + [pa.array(rows[c], pa.binary()) for c in ("words", "who", "docs")],
+                [pa.array(rows["bucket"], pa.int32())] + [pa.array(rows[c], pa.binary()) for c in ("words", "who", "docs", "sets")],
                 names=list(rows))
 
         for b in batches:
             for lo, hi, data, offs in row_chunks(b.column(1)):
                 h, edge = shingle_sets(Words(data, offs, True), k)
-                w, who, space, least = part_words(h, edge, t)
+                w, who, space, _ = part_words(h, edge, t)
                 id_ = b.column(0).slice(lo, hi - lo)
                 known = ~np.asarray(id_.is_null())[who]
                 held.append((w[known], ((who + docs) * 4 + space)[known]))
                 f = np.zeros(len(h) + 1, dtype=U)
                 np.cumsum(mix(h), out=f[1:])
                 ids.append(np.stack([id_.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64),
-                                     (f[edge[1:]] - f[edge[:-1]]).view(np.int64), *least.T], axis=1))
+                                     ((f[edge[1:]] - f[edge[:-1]]) >> U(32)).astype(np.int64)], axis=1))
                 docs += hi - lo
                 count += len(w)
                 if count >= FLUSH_WORDS:
@@ -186,49 +190,63 @@ def _word_rows(k: int, t: tuple[int, int], buckets: int):
 
 
 def _shared_words(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: words held by several classes, one row per class (its
-    smallest doc_id), with the space and the shared words that it needs there."""
-    words, tags, info = [], [], []
-    for w, who, docs in zip(pdf["words"], pdf["who"], pdf["docs"]):
-        w = np.frombuffer(w, dtype=np.uint32)
-        who = np.frombuffer(who, dtype=np.uint16 if len(who) == 2 * len(w) else np.uint32)
-        words.append(w)
-        tags.append(who & 3)
-        info.append((np.frombuffer(docs, dtype=np.int64).reshape(-1, 5), who >> 2))
-    w, tag = np.concatenate(words), np.concatenate(tags).astype(np.int64)
+    """Of one bucket: words held by several sets, one row per set (the smallest
+    doc_id of its copies), with the space."""
+    words, tags, places = [], [], []
+    for w, who in zip(pdf["words"], pdf["who"]):
+        words.append(np.frombuffer(w, dtype=np.uint32))
+        who = np.frombuffer(who, dtype=np.uint16 if len(who) == 2 * len(words[-1]) else np.uint32)
+        tags.append((who & 3).astype(np.uint8))
+        places.append(who >> 2)
+    sizes = [len(d) // 8 for d in pdf["docs"]]
+    docs = np.frombuffer(b"".join(pdf["docs"]), dtype=np.int64)
+    sets = np.frombuffer(b"".join(pdf["sets"]), dtype=np.uint32)
+    place = np.concatenate([p.astype(np.int64) + base for p, base in zip(places, np.cumsum([0] + sizes))])
+    w, tag = np.concatenate(words), np.concatenate(tags)
     order = np.argsort(w, kind="stable")
     sw = w[order]
-    twice = np.zeros(len(w), dtype=bool)
     same = sw[1:] == sw[:-1]
+    twice = np.zeros(len(w), dtype=bool)
     twice[1:] = same
     twice[:-1] |= same
-    at = np.sort(order[twice])
-    w, tag = w[at], tag[at]
-    cut = np.searchsorted(at, np.cumsum([0] + [len(x) for x in words]))
-    base = np.cumsum([0] + [len(x) for x in words])
-    doc, f, least = [], [], []
-    for i, (docs, who) in enumerate(info):
-        a, z = cut[i], cut[i + 1]
-        row = docs[who[at[a:z] - base[i]]]
-        doc.append(row[:, 0])
-        f.append(row[:, 1])
-        least.append(row[np.arange(z - a), 2 + tag[a:z]])
-    doc, f, least = np.concatenate(doc), np.concatenate(f), np.concatenate(least)
+    at = order[twice]
+    w, tag, place = w[at], tag[at], place[at]
+    doc, f = docs[place], sets[place]
     order = np.lexsort((doc, f, w))
-    w, tag, doc, f, least = w[order], tag[order], doc[order], f[order], least[order]
+    w, tag, doc, f = w[order], tag[order], doc[order], f[order]
     first = np.ones(len(w), dtype=bool)
     first[1:] = (w[1:] != w[:-1]) | (f[1:] != f[:-1])
-    w, tag, doc, least = w[first], tag[first], doc[first], least[first]
+    w, tag, doc = w[first], tag[first], doc[first]
     at = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]])[:len(w)])
-    many = np.repeat(np.diff(np.append(at, len(w))) > 1, np.diff(np.append(at, len(w))))
+    size = np.diff(np.append(at, len(w)))
+    many = np.repeat(size > 1, size)
     bucket = np.int64(pdf["bucket"].iloc[0]) << np.int64(32)
-    return pd.DataFrame({"word": w[many].astype(np.int64) | bucket, "doc": doc[many],
-                         "space": tag[many], "least": least[many]})
+    return pd.DataFrame({"word": w[many].astype(np.int64) | bucket, "doc": doc[many], "space": tag[many].astype(np.int32)})
+
+
+def _bit_of(id_: str):
+    return F.pmod(F.xxhash64(id_), F.lit(FILTER_BITS))
+
+
+def id_filter(ids: DataFrame, id_col: str) -> np.ndarray:
+    """Bit map of the hashed ids: FILTER_BITS bits whatever their number. A row
+    whose bit is unset has none of the ids."""
+    slots = ids.select(_bit_of(id_col).alias("b")).groupBy((F.col("b") / 32768).cast("int").alias("slot")).agg(
+        F.bitmap_construct_agg((F.col("b") % 32768).cast("long")).alias("bits")).collect()
+    out = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    for r in slots:
+        out[r["slot"] * 4096:(r["slot"] + 1) * 4096] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
+    return out
+
+
+def passes(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    return (bits[numbers >> 3] >> (numbers & 7).astype(np.uint8)) & 1 == 1
 
 
-def _full_sets(k: int):
+def _full_sets(k: int, bits: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            b = b.filter(pa.array(passes(bits, b.column(2).to_numpy(zero_copy_only=False))))
             for lo, hi, data, offs in row_chunks(b.column(1)):
                 h, edge = shingle_sets(Words(data, offs, True), k)
                 cut = list(zip(edge[:-1].tolist(), edge[1:].tolist()))
@@ -241,16 +259,15 @@ def _full_sets(k: int):
 def _check_block(t: tuple[int, int]):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         own = pdf["doc"].isna()
-        out: list[tuple[int, int]] = []
-        if own.any():
-            hub = int(pdf["hub"].iloc[0])
-            a = np.frombuffer(pdf.loc[own, "hashes"].iloc[0], dtype=U)
-            for doc, raw in zip(pdf.loc[~own, "doc"], pdf.loc[~own, "hashes"]):
-                b = np.frombuffer(raw, dtype=U)
+        hubs = [np.frombuffer(raw, dtype=U) for raw in pdf.loc[own, "hashes"]]
+        out: set[tuple[int, int]] = set()
+        for doc, raw in zip(pdf.loc[~own, "doc"], pdf.loc[~own, "hashes"]):
+            b = np.frombuffer(raw, dtype=U)
+            for a in hubs:
                 common = len(np.intersect1d(a, b, assume_unique=True))
                 if t[1] * common >= t[0] * (len(a) + len(b) - common):
-                    out.append((hub, int(doc)))
-        return pd.DataFrame(out, columns=["src", "dst"]).astype("int64")
+                    out.add((int(pdf["hub"].iloc[0]), int(doc)))
+        return pd.DataFrame(sorted(out), columns=["src", "dst"]).astype("int64")
     return run
 
 
@@ -318,19 +335,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     doc_id reachable over links, itself included)."""
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sized = materialize(docs.mapInArrow(_set_rows(k), "doc_id long, n_shingles long, f1 long, f2 long"), "sets")
-    buckets = max(256, 8 * shuffle_partitions(spark))
-    words = docs.mapInArrow(_word_rows(k, t, buckets), "bucket int, words binary, who binary, docs binary")
-    shared = materialize(words.groupBy("bucket").applyInPandas(
-        _shared_words, "word long, doc long, space long, least long"), "shared")
+    sized = materialize(docs.mapInArrow(
+        _set_rows(k, t), "doc_id long, n_shingles long, f1 long, f2 long, least0 long, least1 long"), "sets")
+    words = docs.mapInArrow(_word_rows(k, t, shuffle_partitions(spark)), "bucket int, words binary, who binary, docs binary, sets binary")
+    shared = materialize(words.groupBy("bucket").applyInPandas(_shared_words, "word long, doc long, space int"), "shared")
     # a set that shares too few words of a space resembles none that it meets there
-    enough = shared.groupBy("doc", "space").agg(F.count("*").alias("n"), F.max("least").alias("least")).where("n >= least")
-    shared = shared.select("word", "doc", "space").join(enough.select("doc", "space"), ["doc", "space"], "left_semi").select("word", "doc")
-    hubs = shared.groupBy("word").agg(F.min("doc").alias("hub"), F.max("doc").alias("last")).where("hub <> last").select("word", "hub")
-    shared = materialize(shared.join(hubs, "word"), "shared")
-    wanted = materialize(shared.select(F.col("doc").alias("doc_id")).distinct(), "wanted")
-    sets = docs.join(wanted, "doc_id").mapInArrow(_full_sets(k), "doc long, hashes binary, sketch binary")
-    sets = materialize(sets.dropDuplicates(["doc"]), "full_sets")
+    least = sized.groupBy("doc_id").agg(F.min("least0").alias("least0"), F.min("least1").alias("least1"))
+    enough = shared.groupBy("doc", "space").agg(F.count("*").alias("n")).join(least.withColumnRenamed("doc_id", "doc"), "doc").where(
+        "n >= CASE space WHEN 0 THEN least0 WHEN 1 THEN least1 ELSE 1 END").select("doc", "space", "n")
+    shared = shared.join(enough, ["doc", "space"]).select("word", "doc", "n")
+    # the hub of a word: the document that shares most words, then the smallest id
+    hubs = shared.groupBy("word").agg(F.max(F.struct("n", (-F.col("doc")).alias("minus"))).alias("hub"), F.min("doc").alias("a"),
+                                      F.max("doc").alias("z")).where("a <> z").select("word", "hub")
+    shared = materialize(shared.select("word", "doc").join(hubs, "word"), "shared")
+    wanted = id_filter(shared.select("doc").distinct(), "doc")
+    sets = materialize(docs.where("doc_id IS NOT NULL").select("doc_id", "text", _bit_of("doc_id").alias("bit")).mapInArrow(
+        _full_sets(k, wanted), "doc long, hashes binary, sketch binary"), "full_sets")
 
     # copies: equal sets, and rows that repeat a doc_id
     full = sized.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -338,14 +358,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     copies = full.join(reps, ["n_shingles", "f1", "f2"]).select(
         F.col("rep").alias("src"), F.col("doc_id").alias("dst")).where("src <> dst")
 
-    # 1: each document against the smallest id it meets
-    first = shared.groupBy("doc").agg(F.min("hub").alias("hub")).where("hub <> doc")
+    # 1: each document against the best hub it meets
+    first = shared.groupBy("doc").agg((-F.max("hub")["minus"]).alias("hub")).where("hub <> doc")
     tested = materialize(first.select("hub", "doc"), "tested")
     links = materialize(verified(tested, sets, t), "links")
-    # 2: in words that still hold several components, against the word's smallest id
+    # 2: in words that still hold several components, against the word's hub
     for stars in (True, False):
         comp = connected_components(links)
-        named = shared.join(comp.withColumnRenamed("id", "doc"), "doc", "left").select(
+        named = shared.select("word", "doc", (-F.col("hub.minus")).alias("hub")).join(
+            comp.withColumnRenamed("id", "doc"), "doc", "left").select(
             "word", "doc", "hub", F.coalesce("component", "doc").alias("component"))
         # words met by the same documents are one group
         mixed = named.groupBy("word").agg(
@@ -359,7 +380,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         else:
             # 3: across components only, sketches first
             sketched = named.join(sets.select("doc", "sketch", (F.length("hashes") / 8).cast("long").alias("n")), "doc")
-            pairs = sketched.groupBy(F.pmod(F.xxhash64("word"), F.lit(buckets))).applyInPandas(_sketch_pairs(t), "hub long, doc long")
+            pairs = sketched.groupBy(F.pmod(F.xxhash64("word"), F.lit(8 * shuffle_partitions(spark)))).applyInPandas(
+                _sketch_pairs(t), "hub long, doc long")
         pairs = pairs.distinct().join(tested, ["hub", "doc"], "left_anti")
         pairs = materialize(pairs, "pairs")
         links = materialize(links.unionByName(verified(pairs, sets, t)), "links")
