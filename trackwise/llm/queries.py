@@ -8,13 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, pii, secrets
+from . import licenses, pii, secret_scan
 from .common import read_table
 from .decontam import contained_items
 from .jaccard import near_duplicates
 from .packing import pack
 from .repeats import cut_repeats
 from .spans import span_text
+from .vecdedup import near_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,14 +46,20 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@register
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept of every vector."""
+    return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 @register
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of the base kinds, digest of the base spans and all spans of every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.find_secrets(docs, secrets.train(docs), "text", "found")
+    found = secret_scan.find_secrets(docs, secret_scan.train(docs), "text", "found")
     return found.select(
-        "doc_id", *(F.size(_of_kind("found", k)).cast("long").alias(f"n_{k}") for k in secrets.BASE_KINDS),
-        F.sha2(span_text(_of_kind("found", *secrets.BASE_KINDS)), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"),
+        "doc_id", *(F.size(_of_kind("found", k)).cast("long").alias(f"n_{k}") for k in secret_scan.BASE_KINDS),
+        F.sha2(span_text(_of_kind("found", *secret_scan.BASE_KINDS)), 256).alias("base_sha256"), span_text(F.col("found")).alias("spans"),
         F.coalesce(F.array_max(F.transform("found", lambda s: s["score"])), F.lit(0.0)).alias("top_score"))
 
 
