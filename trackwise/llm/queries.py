@@ -12,6 +12,7 @@ from . import licenses, pii, secret_scan
 from .common import read_table
 from .decontam import contained_items
 from .jaccard import near_duplicates
+from .langid import identify
 from .packing import pack
 from .repeats import cut_repeats
 from .spans import span_text
@@ -46,6 +47,18 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def _id_part(n: int) -> Column:
+    """Remainder by which rows are held out."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+@register
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    found = identify(read_table(spark, sf_dir, "documents"), _id_part(4) != 2)
+    return found.select("doc_id", F.coalesce(_id_part(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @register
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vec_id, n_links, component_id, kept of every vector."""
