@@ -14,6 +14,7 @@ from .decontam import contained_items
 from .jaccard import near_duplicates
 from .langid import identify
 from .packing import pack
+from .quality import quality_scores
 from .repeats import cut_repeats
 from .spans import span_text
 from .vecdedup import near_vectors
@@ -76,6 +77,14 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_max(F.transform("found", lambda s: s["score"])), F.lit(0.0)).alias("top_score"))
 
 
+@register
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from labels of those that are not held out."""
+    scores = quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), _id_part(3) != 1)
+    return scores.select("doc_id", F.coalesce(_id_part(3) == 1, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @register
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place."""
