@@ -33,5 +33,5 @@ def test_custom_provider_gets_prompts(spark):
         F.col("trajectory_id").alias("unique_id"), F.col("embedding")[0].cast("string").alias("text_information")))
     assert out.first().text_information == str(float(len(p.prompt)))
     assert rej.count() == 0
-    _, rej2 = describe(clean, max_chars=100)
+    _, rej2 = describe(clean, provider=lambda df: df, max_chars=100)
     assert rej2.first().reason == "context_length"

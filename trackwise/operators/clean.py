@@ -1,6 +1,6 @@
 """Cleaning: latitude range, duplicate timestamps, speed limit, minimum length.
 
-Order matters and follows the reference: range -> dedup (first in file order)
+Order matters and follows the reference: range (and finite longitude) -> dedup (first in file order)
 -> previous point (the first point of each trajectory is dropped for good) ->
 ellipsoidal speed <= limit, one pass -> count survivors >= minimum.
 
@@ -29,6 +29,16 @@ def lat_in_range(df: DataFrame) -> DataFrame:
     return df.where(F.col("lat").between(-90.0, 90.0) & ~F.isnan("lat"))
 
 
+def lon_finite(df: DataFrame) -> DataFrame:
+    """Keep rows whose longitude is a finite number: another has no distance to
+    its neighbours, so it would pass the speed test and hide the real steps."""
+    return df.where(_finite("lon"))
+
+
+def _finite(c: str):
+    return F.coalesce(~F.isnan(c) & (F.abs(F.col(c)) < float("inf")), F.lit(False))
+
+
 def dedup_first(df: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
     """DEDUP: one row per ``(unique_id, ts)``, the first in file order (``line_no``)."""
     d = df if "_bkt" in df.columns else df.withColumn("_bkt", time_bucket("ts", bucket_s))
@@ -66,7 +76,7 @@ def keep_long(df: DataFrame, min_points: int = MIN_POINTS) -> DataFrame:
 def speed_checked(matched: DataFrame, speed_limit: float = SPEED_LIMIT_KMH,
                   bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
     """Matched points through range, dedup, previous point and speed columns."""
-    d = lat_in_range(matched).withColumn("_bkt", time_bucket("ts", bucket_s))
+    d = lon_finite(lat_in_range(matched)).withColumn("_bkt", time_bucket("ts", bucket_s))
     d = dedup_first(d, bucket_s)
     d = with_previous(d, ["unique_id"], ["ts"], ["lat", "lon", "ts"], prefix="prev_",
                       bucket_s=bucket_s)
@@ -86,39 +96,28 @@ def quality_report(matched: DataFrame, speed_limit: float = SPEED_LIMIT_KMH,
                    min_points: int = MIN_POINTS, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
     """QUALITY_REPORT / DISTINCT_COUNT: rows and trajectories after each stage.
 
-    ``stage_no, stage, n_rows, n_trajectories``. Two passes: one aggregate over
-    the matched rows (stages 1-2) and one over the deduplicated rows carrying a
-    flag per later stage (stages 3-6); every count is a partial aggregation.
+    ``stage_no, stage, n_rows, n_trajectories``. Rows of each stage are summed per
+    trajectory (one partial aggregation over the matched rows, one over the
+    deduplicated ones); a trajectory is in a stage when its sum is positive.
     """
-    in_range = F.col("lat").between(-90.0, 90.0) & ~F.isnan("lat")
-    uid_if = lambda c: F.when(c, F.col("unique_id"))
-    first = matched.agg(
-        F.count(F.lit(1)).alias("n1"), F.countDistinct("unique_id").alias("t1"),
-        F.count(uid_if(in_range)).alias("n2"), F.countDistinct(uid_if(in_range)).alias("t2"))
-
-    d = lat_in_range(matched).withColumn("_bkt", time_bucket("ts", bucket_s))
+    in_range = F.coalesce(F.col("lat").between(-90.0, 90.0) & ~F.isnan("lat"), F.lit(False))
+    located = in_range & _finite("lon")
+    first = matched.groupBy("unique_id").agg(
+        F.count(F.lit(1)).alias("n1"), F.count_if(in_range).alias("n2"), F.count_if(located).alias("n3"))
+    d = lon_finite(lat_in_range(matched)).withColumn("_bkt", time_bucket("ts", bucket_s))
     d = dedup_first(d, bucket_s)
     d = with_previous(d, ["unique_id"], ["ts"], ["lat", "lon", "ts"], prefix="prev_", bucket_s=bucket_s)
     d = with_speed(d.drop("_bkt"))
     has_prev = F.col("prev_lat").isNotNull()
-    ok = has_prev & (F.col("speed_kmh") <= speed_limit)
-    d = d.withColumns({"_p": has_prev, "_ok": ok})
-    counts = d.groupBy("unique_id").agg(F.sum(F.col("_ok").cast("int")).alias("_n_ok"))
-    d = d.join(counts, "unique_id").withColumn("_long", F.col("_ok") & (F.col("_n_ok") >= min_points))
-    second = d.agg(
-        F.count(F.lit(1)).alias("n3"), F.countDistinct("unique_id").alias("t3"),
-        F.count(uid_if(F.col("_p"))).alias("n4"), F.countDistinct(uid_if(F.col("_p"))).alias("t4"),
-        F.count(uid_if(F.col("_ok"))).alias("n5"), F.countDistinct(uid_if(F.col("_ok"))).alias("t5"),
-        F.count(uid_if(F.col("_long"))).alias("n6"), F.countDistinct(uid_if(F.col("_long"))).alias("t6"))
-    names = ["matched", "lat_in_range", "deduplicated", "with_previous", "speed_ok", "clean"]
-    a = first.select(F.inline(F.array(*[F.struct(F.lit(i + 1).cast("bigint").alias("stage_no"),
-                                                 F.lit(names[i]).alias("stage"),
-                                                 F.col(f"n{i + 1}").cast("bigint").alias("n_rows"),
-                                                 F.col(f"t{i + 1}").cast("bigint").alias("n_trajectories"))
-                                        for i in range(2)])))
-    b = second.select(F.inline(F.array(*[F.struct(F.lit(i + 1).cast("bigint").alias("stage_no"),
-                                                  F.lit(names[i]).alias("stage"),
-                                                  F.col(f"n{i + 1}").cast("bigint").alias("n_rows"),
-                                                  F.col(f"t{i + 1}").cast("bigint").alias("n_trajectories"))
-                                         for i in range(2, 6)])))
-    return a.unionByName(b)
+    second = d.groupBy("unique_id").agg(
+        F.count(F.lit(1)).alias("n4"), F.count_if(has_prev).alias("n5"),
+        F.count_if(has_prev & (F.col("speed_kmh") <= speed_limit)).alias("n6"))
+    per = first.join(second, "unique_id", "left").withColumn(
+        "n7", F.when(F.col("n6") >= min_points, F.col("n6")))
+    names = ["matched", "lat_in_range", "lon_finite", "deduplicated", "with_previous", "speed_ok", "clean"]
+    total = per.agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(1, 8)],
+                    *[F.count_if(F.col(f"n{i}") > 0).alias(f"t{i}") for i in range(1, 8)])
+    return total.select(F.inline(F.array(*[
+        F.struct(F.lit(i).cast("bigint").alias("stage_no"), F.lit(n).alias("stage"),
+                 F.col(f"n{i}").cast("bigint").alias("n_rows"), F.col(f"t{i}").cast("bigint").alias("n_trajectories"))
+        for i, n in enumerate(names, 1)])))

@@ -136,8 +136,10 @@ def embed_multimodal(raster: DataFrame, texts: DataFrame, key: str, text: str,
     """EMBED_MULTIMODAL default provider (early fusion): raster cells and text
     tokens hashed into one space, one vector per key from both inputs.
 
-    Work is linear in cells + tokens; no (cell, token) pairs are formed.
+    Keys without text get no vector, as in the image lookup. Work is linear in
+    cells + tokens: the two bags are added, no (cell, token) pairs are formed.
     """
+    raster = raster.join(texts.where(F.col(text).isNotNull()).select(key).distinct(), key, "left_semi")
     tok = F.concat_ws(":", F.col("layer"), F.col("cx").cast("string"), F.col("cy").cast("string"))
     cells = raster.groupBy(key, _bucket(tok, dim).alias("bucket")).agg(F.sum("n").alias("cnt"))
     words = hashed_counts(texts, key, text_tokens(text), dim)
@@ -149,14 +151,41 @@ def batched_provider(fn: Callable[[list[str]], list[list[float]]], key: str, tex
                      out_schema: str = "trajectory_id string, embedding array<float>"
                      ) -> Callable[[DataFrame], DataFrame]:
     """Wrap a user's batch function (e.g. a remote model client) as a partition
-    operator: Arrow batches in, one vector per row out. Rate limits are bounded
-    by the number of partitions the caller gives this stage."""
+    operator: Arrow batches in, one vector per row out. A batch that fails is
+    tried row by row; a row that fails has a null vector and, with a third column
+    in ``out_schema`` (a string), the reason, so the job goes on and a later run
+    can take it up again (``rejected`` and ``accepted`` split the result). Rate
+    limits are bounded by the number of partitions the caller gives this stage."""
+    names = [c.split()[0] for c in out_schema.split(", ")]
+
     def run(it: Iterator):
         import pandas as pd
         for pdf in it:
-            vecs = fn(pdf[text].tolist())
-            yield pd.DataFrame({out_schema.split()[0]: pdf[key], out_schema.split(",")[1].split()[0]: vecs})
+            reasons = [None] * len(pdf)
+            try:
+                vecs = fn(pdf[text].tolist())
+            except Exception:  # noqa: BLE001 -- the provider's own errors, kept per row below
+                vecs = []
+                for i, t in enumerate(pdf[text].tolist()):
+                    try:
+                        vecs += fn([t])
+                    except Exception as e:  # noqa: BLE001
+                        vecs.append(None)
+                        reasons[i] = f"{type(e).__name__}: {e}"[:500]
+            cols = [pdf[key], pd.Series(vecs, index=pdf.index, dtype=object), pd.Series(reasons, index=pdf.index, dtype=object)]
+            yield pd.DataFrame(dict(zip(names, cols)))
 
     def apply(df: DataFrame) -> DataFrame:
         return df.select(key, text).mapInPandas(run, out_schema)
     return apply
+
+
+def accepted(out: DataFrame, vec: str = "embedding") -> DataFrame:
+    """Rows of a provider's result that have a vector: the ones to append."""
+    return out.where(F.col(vec).isNotNull())
+
+
+def rejected(out: DataFrame, key: str = "trajectory_id", vec: str = "embedding", reason: str = "reason") -> DataFrame:
+    """``key, reason`` of the rows that failed; not being in the output, they are
+    pending again on the next run."""
+    return out.where(F.col(vec).isNull()).select(key, reason)

@@ -26,8 +26,9 @@ MIN_FEATURE_POINTS = 3
 
 
 def step_kinematics(points: DataFrame, bucket_s: int = DEFAULT_BUCKET_S, keep_bucket: bool = False,
-                    carry: tuple[str, ...] = ()) -> DataFrame:
-    """STEP_KINEMATICS + STEP_ACCEL: one row per point after the first.
+                    carry: tuple[str, ...] = (), acceleration: bool = True) -> DataFrame:
+    """STEP_KINEMATICS + STEP_ACCEL: one row per point after the first
+    (``acceleration=False``: without ``acc`` and the second pass that it needs).
 
     Columns added: ``step_m, dt_s, v, acc`` (acc of the first step is 0) and
     ``p_<c>`` for every column in ``carry`` (value at the previous point).
@@ -38,6 +39,9 @@ def step_kinematics(points: DataFrame, bucket_s: int = DEFAULT_BUCKET_S, keep_bu
               .withColumn("step_m", haversine_m("p_lat", "p_lon", "lat", "lon"))
               .withColumn("dt_s", F.greatest(duration_s("p_ts", "ts"), F.lit(MIN_STEP_S)))
               .withColumn("v", F.col("step_m") / F.col("dt_s")))
+    if not acceleration:
+        out = steps.drop("p_lat", "p_lon")
+        return out if keep_bucket else out.drop("_bkt")
     steps = with_previous(steps, ["unique_id"], ["ts"], ["v", "dt_s"], prefix="q_", bucket_s=bucket_s)
     mean_dt = (F.col("dt_s") + F.col("q_dt_s")) / 2.0
     acc = (F.when(F.col("q_v").isNull(), F.lit(0.0))

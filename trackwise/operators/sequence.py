@@ -55,9 +55,11 @@ def downsample(clean: DataFrame, max_points: int = 2000, seed: int = 3407) -> Da
     ``max_points - 2`` middle points chosen by a seeded hash; time order kept.
 
     Deterministic, unlike a random sample. The middle points are ranked by
-    ``md5(unique_id|ts|seed)``; ``row_number() <= k`` per trajectory runs with
-    Spark's partial per-partition limit, so a hot trajectory sends at most k
-    rows per map partition.
+    ``md5(unique_id|ts|seed)``. The first ``k`` of a trajectory lie in the lowest
+    hashes, so points are counted per slice of the hash space (slices grow with
+    the trajectory, about ``k`` points each); whole slices below the k-th point
+    are kept and only the slice that holds it is ranked. No window spans a
+    trajectory, whatever its length.
     """
     ends = clean.groupBy("unique_id").agg(
         F.count(F.lit(1)).alias("_n"), F.min("ts").alias("_t0"), F.max("ts").alias("_t1"))
@@ -67,8 +69,17 @@ def downsample(clean: DataFrame, max_points: int = 2000, seed: int = 3407) -> Da
     is_end = (F.col("ts") == F.col("_t0")) | (F.col("ts") == F.col("_t1"))
     h = F.md5(F.concat_ws("|", F.col("unique_id"),
                           F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(str(seed))))
-    w = Window.partitionBy("unique_id").orderBy(h, F.col("ts"))
-    middle = (big.where(~is_end).withColumn("_r", F.row_number().over(w))
-                 .where(F.col("_r") <= max_points - 2).drop("_r"))
+    k = max_points - 2
+    mid = big.where(~is_end).withColumn("_h", h)
+    # slice number: the first 52 bits of the hash scaled to about n / k slices, in hash order
+    part = F.conv(F.substring("_h", 1, 13), 16, 10).cast("double") / float(1 << 52)
+    mid = mid.withColumn("_s", F.floor(part * F.ceil(F.col("_n") / max(k, 1))))
+    per = mid.groupBy("unique_id", "_s").agg(F.count(F.lit(1)).alias("_c"))
+    before = Window.partitionBy("unique_id").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0))).where(F.col("_before") < k)
+    mid = mid.join(per, ["unique_id", "_s"])
+    w = Window.partitionBy("unique_id", "_s").orderBy("_h", "ts")
+    middle = (mid.withColumn("_r", F.col("_before") + F.row_number().over(w)).where(F.col("_r") <= k)
+                 .drop("_r", "_h", "_s", "_c", "_before"))
     out = small.unionByName(big.where(is_end)).unionByName(middle)
     return out.drop("_n", "_t0", "_t1")

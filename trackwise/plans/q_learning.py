@@ -150,18 +150,35 @@ rk AS (
   FROM vlab)""")
 
 
-@register("strat_split", _split_sql(42, """
-SELECT trajectory_id, label, CASE WHEN r < ceil(n * 0.2) THEN 'test' ELSE 'train' END AS split FROM rk"""))
+def _deal_sql(name: str, source: str, size: str, fraction: float) -> str:
+    """``ceil(fraction * rows)`` dealt to the classes by largest remainder, a training row kept."""
+    goal = f"CAST(ceil(sum({size}) OVER () * CAST({fraction} AS DOUBLE)) AS BIGINT)"
+    return f"""
+{name}_0 AS (SELECT *, {goal} AS goal, CAST(sum({size}) OVER () AS BIGINT) AS total FROM {source}),
+{name}_1 AS (SELECT *, least(goal * {size} // total, {size} - 1) AS base, goal * {size} % total AS remainder FROM {name}_0),
+{name}_2 AS (SELECT *, goal - CAST(sum(base) OVER () AS BIGINT) AS over_, row_number() OVER (
+      PARTITION BY base < {size} - 1 ORDER BY remainder DESC, label) AS turn FROM {name}_1),
+{name} AS (SELECT * EXCLUDE (goal, total, base, remainder, over_, turn),
+      base + CASE WHEN base < {size} - 1 AND turn <= over_ THEN 1 ELSE 0 END AS {name}_n FROM {name}_2)"""
+
+
+_CLASS_SIZES = "class_sizes AS (SELECT label, count(*) AS n FROM vlab GROUP BY label)"
+
+
+@register("strat_split", _split_sql(42, f"""
+, {_CLASS_SIZES}, {_deal_sql("test", "class_sizes", "n", 0.2)}
+SELECT trajectory_id, rk.label, CASE WHEN r < test_n THEN 'test' ELSE 'train' END AS split
+FROM rk JOIN test USING (label)"""))
 def q_strat_split(spark, sf):
     return SP.stratified_split(_vlab(spark, sf), "label", "trajectory_id", 0.2, 42) \
              .select("trajectory_id", "label", "split")
 
 
-@register("split_3way", _split_sql(3407, """
-SELECT trajectory_id, label,
-       CASE WHEN r < ceil(n * 0.15) THEN 'test'
-            WHEN r < ceil(n * 0.15) + ceil((n - ceil(n * 0.15)) * 0.176) THEN 'val'
-            ELSE 'train' END AS split FROM rk"""))
+@register("split_3way", _split_sql(3407, f"""
+, {_CLASS_SIZES}, {_deal_sql("test", "class_sizes", "n", 0.15)},
+rest AS (SELECT label, test_n, n - test_n AS m FROM test), {_deal_sql("val", "rest", "m", 0.176)}
+SELECT trajectory_id, rk.label, CASE WHEN r < test_n THEN 'test' WHEN r < test_n + val_n THEN 'val' ELSE 'train' END AS split
+FROM rk JOIN val USING (label)"""))
 def q_split_3way(spark, sf):
     return SP.three_way_split(_vlab(spark, sf), "label", "trajectory_id", 0.15, 0.176, 3407) \
              .select("trajectory_id", "label", "split")
@@ -184,9 +201,9 @@ def _std_sql() -> str:
                     f" AS {c}" for c in feats)
     return with_base_sql(f"SELECT unique_id, {out} FROM fv, st", _FEAT_CTES + f""",
 fv AS (SELECT unique_id, label, {fe} FROM feat),
-rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(unique_id || '|42'), unique_id) - 1 AS r,
-              count(*) OVER (PARTITION BY label) AS n FROM fv),
-st AS (SELECT {stats} FROM rk WHERE r >= ceil(n * 0.2))""")
+rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(unique_id || '|42'), unique_id) - 1 AS r FROM fv),
+class_sizes AS (SELECT label, count(*) AS n FROM fv GROUP BY label), {_deal_sql("test", "class_sizes", "n", 0.2)},
+st AS (SELECT {stats} FROM rk JOIN test USING (label) WHERE r >= test_n)""")
 
 
 @register("standardise", _std_sql())

@@ -68,7 +68,7 @@ def q_lat_range(spark, sf):
 SELECT unique_id, {ts_sql('ts')} AS ts, CAST(line_no AS BIGINT) AS line_no, round(lat, 6) AS lat
 FROM dedup"""))
 def q_dedup(spark, sf):
-    d = C.dedup_first(C.lat_in_range(inputs(spark, sf).matched))
+    d = C.dedup_first(C.lon_finite(C.lat_in_range(inputs(spark, sf).matched)))
     return d.select("unique_id", tstr("ts").alias("ts"), big("line_no").alias("line_no"),
                     F.round("lat", 6).alias("lat"))
 
@@ -127,12 +127,12 @@ def q_traj_count(spark, sf):
 
 @register("distinct_count", with_base("""
 SELECT (SELECT CAST(count(DISTINCT unique_id) AS BIGINT) FROM matched) AS matched_trajectories,
-       (SELECT CAST(count(*) AS BIGINT) FROM ranged) - (SELECT CAST(count(*) AS BIGINT) FROM dedup)
+       (SELECT CAST(count(*) AS BIGINT) FROM located) - (SELECT CAST(count(*) AS BIGINT) FROM dedup)
          AS duplicates_removed,
        (SELECT CAST(count(DISTINCT unique_id) AS BIGINT) FROM clean) AS clean_trajectories"""))
 def q_distinct_count(spark, sf):
     i = inputs(spark, sf)
-    ranged = C.lat_in_range(i.matched)
+    ranged = C.lon_finite(C.lat_in_range(i.matched))
     parts = [
         i.matched.agg(F.countDistinct("unique_id").alias("v")).withColumn("m", F.lit("mt")),
         ranged.agg(F.count(F.lit(1)).alias("v")).withColumn("m", F.lit("rg")),
@@ -152,10 +152,11 @@ def q_distinct_count(spark, sf):
 SELECT 1::BIGINT AS stage_no, 'matched' AS stage, count(*)::BIGINT AS n_rows,
        count(DISTINCT unique_id)::BIGINT AS n_trajectories FROM matched
 UNION ALL SELECT 2, 'lat_in_range', count(*), count(DISTINCT unique_id) FROM ranged
-UNION ALL SELECT 3, 'deduplicated', count(*), count(DISTINCT unique_id) FROM dedup
-UNION ALL SELECT 4, 'with_previous', count(*), count(DISTINCT unique_id) FROM speeds
-UNION ALL SELECT 5, 'speed_ok', count(*), count(DISTINCT unique_id) FROM fast_ok
-UNION ALL SELECT 6, 'clean', count(*), count(DISTINCT unique_id) FROM clean"""))
+UNION ALL SELECT 3, 'lon_finite', count(*), count(DISTINCT unique_id) FROM located
+UNION ALL SELECT 4, 'deduplicated', count(*), count(DISTINCT unique_id) FROM dedup
+UNION ALL SELECT 5, 'with_previous', count(*), count(DISTINCT unique_id) FROM speeds
+UNION ALL SELECT 6, 'speed_ok', count(*), count(DISTINCT unique_id) FROM fast_ok
+UNION ALL SELECT 7, 'clean', count(*), count(DISTINCT unique_id) FROM clean"""))
 def q_quality_report(spark, sf):
     return C.quality_report(inputs(spark, sf).matched)
 

@@ -63,7 +63,8 @@ points AS (
          event_id * 2 AS line_no, ts,
          CASE WHEN event_id % {D.BAD_LAT_EVERY} = 0 THEN {D.BAD_LAT}
               ELSE ({D.LAT0_MICRO} + slat) / 1e6 END AS lat,
-         ({D.LON0_MICRO} + slon) / 1e6 AS lon, CAST(0.0 AS DOUBLE) AS altitude
+         CASE WHEN event_id % {D.NULL_LON_EVERY} = 0 THEN NULL WHEN event_id % {D.NAN_LON_EVERY} = 0 THEN CAST('nan' AS DOUBLE)
+              ELSE ({D.LON0_MICRO} + slon) / 1e6 END AS lon, CAST(0.0 AS DOUBLE) AS altitude
   FROM walk
   UNION ALL
   SELECT user_id, CASE WHEN ts < TIMESTAMP '{D.FILE_SPLIT_TS}' THEN 0 ELSE 1 END,
@@ -82,8 +83,9 @@ matched AS (
          l.transport_mode
   FROM points p JOIN lab l ON p.user_id = l.user_id AND p.ts BETWEEN l.start_ts AND l.end_ts),
 ranged AS (SELECT * FROM matched WHERE lat BETWEEN -90 AND 90 AND NOT isnan(lat)),
+located AS (SELECT * FROM ranged WHERE lon IS NOT NULL AND isfinite(lon)),
 dedup AS (
-  SELECT * FROM ranged
+  SELECT * FROM located
   QUALIFY row_number() OVER (PARTITION BY unique_id, ts ORDER BY line_no) = 1),
 lagged AS (
   SELECT *, lag(lat) OVER w AS prev_lat, lag(lon) OVER w AS prev_lon, lag(ts) OVER w AS prev_ts

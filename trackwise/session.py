@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,14 +21,13 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.master(master)
         if master.startswith("local"):
             # local mode: the driver JVM is the only executor
-            b = b.config("spark.driver.memory", os.environ.get("TRACKWISE_DRIVER_MEMORY", "16g"))
+            b = b.config("spark.driver.memory", os.environ.get("TRACKWISE_DRIVER_MEMORY", "8g"))
     b = (b.config("spark.ui.enabled", "false")
           .config("spark.sql.session.timeZone", "UTC")
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.ui.showConsoleProgress", "false")
-          .config("spark.sql.optimizer.windowGroupLimitThreshold", "5000")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -46,18 +46,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="trackwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
@@ -100,17 +96,17 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
 
 
 def size_shuffles(spark: SparkSession, paths: list[str], target_partition_bytes: int = 256 << 20,
-                  min_partitions: int | None = None, max_partitions: int = 100_000) -> int:
+                  min_partitions: int | None = None) -> int:
     """Set ``spark.sql.shuffle.partitions`` from the input size.
 
     About one shuffle partition per ``target_partition_bytes`` of input (so a
     partition's sort/aggregate state fits executor memory), at least twice the
     default parallelism; AQE then coalesces small ones toward the same advisory
-    size and splits skewed ones. 100 TB gives ~400k, capped at ``max_partitions``.
+    size and splits skewed ones. 100 TB gives about 400,000.
     """
     n_in = input_bytes(spark, paths)
     floor_n = min_partitions or 2 * spark.sparkContext.defaultParallelism
-    n = max(floor_n, min(max_partitions, n_in // target_partition_bytes + 1))
+    n = max(floor_n, n_in // target_partition_bytes + 1)
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(min(target_partition_bytes, 256 << 20)))

@@ -23,6 +23,8 @@ BAD_LAT_EVERY = 97
 DUP_EVERY = 50
 DUP_LAT_SHIFT = 10
 BAD_LAT = 400.0
+NULL_LON_EVERY = 211
+NAN_LON_EVERY = 223
 FILE_SPLIT_TS = "2024-01-16 00:00:00"
 
 # Fixed values of the label derivation: (label_idx, start, end), and the modes.
@@ -64,7 +66,8 @@ def derive_points(events: DataFrame) -> DataFrame:
         (F.col("event_id") * 2).alias("line_no"),
         F.when(F.col("event_id") % BAD_LAT_EVERY == 0, F.lit(BAD_LAT))
          .otherwise((F.lit(LAT0_MICRO) + F.col("slat")) / F.lit(1e6)).alias("lat"),
-        lon.alias("lon"))
+        F.when(F.col("event_id") % NULL_LON_EVERY == 0, F.lit(None).cast("double"))
+         .when(F.col("event_id") % NAN_LON_EVERY == 0, F.lit(float("nan"))).otherwise(lon).alias("lon"))
     dup = base.where(F.col("event_id") % DUP_EVERY == 0).select(
         "user_id", "ts",
         (F.col("event_id") * 2 + 1).alias("line_no"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from ..functions.text import base64_url
 
@@ -42,8 +43,13 @@ def list_files(spark: SparkSession, glob: str) -> DataFrame:
 
 
 def _norm_path(c: Column) -> Column:
-    """Paths from scans look like ``file:/x``; listings may too: drop the scheme."""
-    return F.regexp_replace(c, r"^[a-z]+:(//)?", "")
+    """Paths from listings look like ``file:/x``: drop the scheme."""
+    return F.regexp_replace(c, r"^[a-z0-9]+:(//)?", "")
+
+
+def _scan_path(c: Column) -> Column:
+    """Paths from scans are URI-encoded as well (a blank is %20; a plus stays)."""
+    return _norm_path(F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))))
 
 
 def read_plt(spark: SparkSession, glob: str, user_min: int | None = None, user_max: int | None = None,
@@ -64,7 +70,7 @@ def read_plt(spark: SparkSession, glob: str, user_min: int | None = None, user_m
         "plt_idx", F.row_number().over(Window.partitionBy("user_id").orderBy("npath")) - 1)
 
     text = spark.read.text(glob, wholetext=True).select(
-        _norm_path(F.col("_metadata.file_path")).alias("npath"), "value")
+        _scan_path(F.col("_metadata.file_path")).alias("npath"), "value")
     lines = text.select("npath", F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
     lines = lines.where((F.col("line_no") >= PLT_HEADER_LINES) & (F.trim("line") != ""))
     rec = lines.select("npath", "line_no", F.from_csv("line", PLT_SCHEMA).alias("r"))
@@ -86,7 +92,7 @@ def read_labels(spark: SparkSession, glob: str, user_min: int | None = None, use
     before unparsable rows are dropped (so drops leave gaps).
     """
     text = spark.read.text(glob, wholetext=True).select(
-        _norm_path(F.col("_metadata.file_path")).alias("npath"), "value")
+        _scan_path(F.col("_metadata.file_path")).alias("npath"), "value")
     text = text.withColumn("user_id", F.regexp_extract("npath", user_pattern, 1).cast("int"))
     if user_min is not None:
         text = text.where(F.col("user_id") >= user_min)
@@ -101,7 +107,7 @@ def read_labels(spark: SparkSession, glob: str, user_min: int | None = None, use
         "user_id", F.col("label_idx").cast("int").alias("label_idx"),
         F.try_to_timestamp(F.trim(F.get(parts, 0)), F.lit(LABEL_TS_FORMAT)).cast("timestamp_ntz").alias("start_ts"),
         F.try_to_timestamp(F.trim(F.get(parts, 1)), F.lit(LABEL_TS_FORMAT)).cast("timestamp_ntz").alias("end_ts"),
-        F.trim(F.get(parts, 2)).alias("transport_mode"))
+        F.nullif(F.trim(F.get(parts, 2)), F.lit("")).alias("transport_mode"))
     return lab.dropna(subset=["start_ts", "end_ts"])
 
 
@@ -189,7 +195,9 @@ def read_geojson(spark: SparkSession, path: str, layer: str) -> DataFrame:
     """
     try:
         raw = spark.read.schema(_COLLECTION).option("multiLine", True).json(path)
-    except Exception:  # noqa: BLE001 -- missing layer
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], _layer_schema())
     f = raw.select(F.col("_metadata.file_path").alias("_p"), F.posexplode("features").alias("_i", "feature"))
     fid = F.coalesce(F.col("feature.id"), F.concat_ws("#", F.col("_p"), F.col("_i").cast("string")))
@@ -239,7 +247,7 @@ _DATA = T.ArrayType(T.StructType([T.StructField("_VALUE", T.StringType()), T.Str
 _KEY_SCHEMA = T.StructType([T.StructField("_id", T.StringType()), T.StructField("_for", T.StringType()),
                             T.StructField("_attr.name", T.StringType())])
 _NODE_SCHEMA = T.StructType([T.StructField("_id", T.StringType()), T.StructField("data", _DATA)])
-_EDGE_SCHEMA = T.StructType([T.StructField("_source", T.StringType()), T.StructField("_target", T.StringType()),
+_EDGE_SCHEMA = T.StructType([T.StructField("_id", T.StringType()), T.StructField("_source", T.StringType()), T.StructField("_target", T.StringType()),
                              T.StructField("data", _DATA)])
 
 
@@ -250,33 +258,42 @@ def read_graphml_edges(spark: SparkSession, path: str, layer: str = "roads") ->
     edge's ``geometry`` is a WKT LINESTRING, and an edge without one gets the
     straight line between its two nodes' ``x``/``y``.
     """
-    keys = spark.read.format("xml").option("rowTag", "key").schema(_KEY_SCHEMA).load(path).select(
-        F.col("_id").cast("string").alias("k"), F.col("`_attr.name`").alias("name"),
+    def rows(tag, schema):
+        # ids and keys hold within their file
+        return spark.read.format("xml").option("rowTag", tag).schema(schema).load(path).withColumn(
+            "file", F.col("_metadata.file_path"))
+
+    keys = rows("key", _KEY_SCHEMA).select(
+        "file", F.col("_id").cast("string").alias("k"), F.col("`_attr.name`").alias("name"),
         F.col("_for").alias("for")).distinct()
-    nodes = spark.read.format("xml").option("rowTag", "node").schema(_NODE_SCHEMA).load(path)
-    nd = nodes.select(F.col("_id").cast("string").alias("node"), F.explode("data").alias("d"))
-    nd = nd.select("node", F.col("d._key").cast("string").alias("k"), F.col("d._VALUE").cast("string").alias("v"))
+    nodes = rows("node", _NODE_SCHEMA)
+    nd = nodes.select("file", F.col("_id").cast("string").alias("node"), F.explode("data").alias("d"))
+    nd = nd.select("file", "node", F.col("d._key").cast("string").alias("k"), F.col("d._VALUE").cast("string").alias("v"))
     nk = keys.where(F.col("for") == "node")
-    nxy = nd.join(nk, "k").groupBy("node").agg(
+    nxy = nd.join(nk, ["file", "k"]).groupBy("file", "node").agg(
         F.max(F.when(F.col("name") == "x", F.col("v").cast("double"))).alias("x"),
         F.max(F.when(F.col("name") == "y", F.col("v").cast("double"))).alias("y"))
-    edges = spark.read.format("xml").option("rowTag", "edge").schema(_EDGE_SCHEMA).load(path)
-    e = edges.select(F.col("_source").cast("string").alias("src"), F.col("_target").cast("string").alias("dst"),
-                     F.monotonically_increasing_id().alias("_eid"), F.col("data"))
-    ed = e.select("src", "dst", "_eid", F.explode_outer("data").alias("d")).select(
-        "src", "dst", "_eid", F.col("d._key").cast("string").alias("k"), F.col("d._VALUE").cast("string").alias("v"))
+    # an edge is known by its file, ends, id and content; equal edges are numbered
+    content = F.xxhash64("_source", "_target", "_id", F.to_json("data"))
+    edges = rows("edge", _EDGE_SCHEMA).withColumn("_eid", F.concat_ws(
+        "-", F.col("_id"), F.hex(F.xxhash64("file", content))))
+    e = edges.groupBy("file", F.col("_source").cast("string").alias("src"), F.col("_target").cast("string").alias("dst"),
+                      "_eid", "data").agg(F.count(F.lit(1)).alias("_copies"))
+    ed = e.select("file", "src", "dst", "_eid", "_copies", F.explode_outer("data").alias("d")).select(
+        "file", "src", "dst", "_eid", "_copies", F.col("d._key").cast("string").alias("k"), F.col("d._VALUE").cast("string").alias("v"))
     ek = keys.where(F.col("for") == "edge")
-    props = ed.join(ek, "k", "left").groupBy("src", "dst", "_eid").agg(
+    props = ed.join(ek, ["file", "k"], "left").groupBy("file", "src", "dst", "_eid", "_copies").agg(
         F.map_from_entries(F.collect_list(F.when(F.col("name").isNotNull(),
                                                  F.struct("name", "v")))).alias("tags"))
-    a = nxy.select(F.col("node").alias("src"), F.col("x").alias("ax"), F.col("y").alias("ay"))
-    b = nxy.select(F.col("node").alias("dst"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    j = props.join(a, "src", "left").join(b, "dst", "left")
+    a = nxy.select("file", F.col("node").alias("src"), F.col("x").alias("ax"), F.col("y").alias("ay"))
+    b = nxy.select("file", F.col("node").alias("dst"), F.col("x").alias("bx"), F.col("y").alias("by"))
+    j = props.join(a, ["file", "src"], "left").join(b, ["file", "dst"], "left")
+    j = j.withColumn("_no", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
     geom = F.element_at("tags", F.lit("geometry"))
     coords = F.when(geom.isNotNull(), _wkt_line(geom)).otherwise(
         F.array(F.struct(F.col("ax").alias("lon"), F.col("ay").alias("lat")),
                 F.struct(F.col("bx").alias("lon"), F.col("by").alias("lat"))))
-    out = j.select(F.concat_ws("-", "src", "dst", F.col("_eid").cast("string")).alias("feature_id"),
+    out = j.select(F.concat_ws("-", "src", "dst", "_eid", F.when(F.col("_no") > 1, F.col("_no").cast("string"))).alias("feature_id"),
                    F.lit(layer).alias("layer"), F.lit("LineString").alias("geom_type"), "tags",
                    coords.alias("coords"))
     return out.withColumns({

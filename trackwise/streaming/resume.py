@@ -18,10 +18,15 @@ from pyspark.sql.utils import AnalysisException
 
 
 def existing_keys(spark: SparkSession, out_path: str, key: str) -> DataFrame | None:
+    """Keys already written; None when there is no output yet (a wrong key or an
+    unreadable output is an error)."""
     try:
-        return spark.read.parquet(out_path).select(key)
-    except AnalysisException:
-        return None
+        done = spark.read.parquet(out_path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return done.select(key)
 
 
 def pending(todo: DataFrame, done: DataFrame | None, key: str) -> DataFrame:
