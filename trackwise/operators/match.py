@@ -7,9 +7,9 @@ files gives two trajectories.
 Plan: labels are expanded to the day bins they cover; the join is an equi-join
 on ``(user_id, bin)`` with the exact range as residual. A point lies in one
 bin, so no pair is produced twice. The key includes the bin, so one user with
-a third of all points is spread over many tasks; AQE broadcasts the label side
-when its measured size is under the broadcast threshold and splits skewed
-partitions otherwise. No size guess is made here.
+a third of all points is spread over many tasks. The expanded labels are counted:
+up to ``BROADCAST_ROWS`` rows they are broadcast, beyond that both sides are
+shuffled (Spark's own estimate ignores the expansion, so it does not decide).
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from .ordered import time_bucket
 
 # Default bin width of the interval join: one day.
 JOIN_BIN_S = 86400
+#: Largest number of expanded label rows that is broadcast (about 40 bytes each).
+BROADCAST_ROWS = 1_000_000
 
 
 def match_points(points: DataFrame, labels: DataFrame, bin_s: int = JOIN_BIN_S) -> DataFrame:
@@ -34,6 +36,7 @@ def match_points(points: DataFrame, labels: DataFrame, bin_s: int = JOIN_BIN_S)
         "user_id", "label_idx", "start_ts", "end_ts", "transport_mode",
         F.explode(F.sequence(time_bucket("start_ts", bin_s), time_bucket("end_ts", bin_s)))
          .alias("_bin"))
+    lab = F.broadcast(lab) if lab.count() <= BROADCAST_ROWS else lab.hint("merge")
     pts = points.withColumn("_bin", time_bucket("ts", bin_s))
     j = pts.join(lab, on=[pts.user_id == lab.user_id, pts._bin == lab._bin,
                           pts.ts >= lab.start_ts, pts.ts <= lab.end_ts], how="inner")
