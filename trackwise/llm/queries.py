@@ -13,14 +13,16 @@ from .common import read_table
 from .decontam import contained_items
 from .jaccard import near_duplicates
 from .langid import identify
+from .oracle import ORACLE
 from .packing import pack
 from .quality import quality_scores
 from .repeats import cut_repeats
 from .spans import span_text
 from .vecdedup import near_vectors
 
+__all__ = ["ORACLE", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def register(fn):
