@@ -51,14 +51,18 @@ def class_report(pred: DataFrame, actual: str = "actual", predicted: str = "pred
     the vocabulary (absent classes get zeros), then ``accuracy`` (its value in
     every column), ``macro avg`` and ``weighted avg``. Undefined ratios are 0.
     """
+    # one pass over the predictions: each confusion count adds to its actual and its predicted class
+    conf = confusion(pred, actual, predicted)
+    zero = F.lit(0).cast("long")
+    hit = F.when(F.col(actual) == F.col(predicted), F.col("n")).otherwise(zero)
+    sums = conf.select(F.inline(F.array(
+        F.struct(F.col(actual).alias("label"), hit.alias("tp"), F.col("n").alias("support"), zero.alias("npred")),
+        F.struct(F.col(predicted).alias("label"), zero.alias("tp"), zero.alias("support"), F.col("n").alias("npred"))))
+        ).groupBy("label").agg(*[F.sum(c).alias(c) for c in ("tp", "support", "npred")])
     if vocab is None:
-        vocab = class_vocab(pred, actual, pred.select(F.col(predicted).alias(actual)))
-    tp = pred.where(F.col(actual) == F.col(predicted)).groupBy(F.col(actual).alias("label")) \
-             .agg(F.count(F.lit(1)).alias("tp"))
-    sup = pred.groupBy(F.col(actual).alias("label")).agg(F.count(F.lit(1)).alias("support"))
-    npred = pred.groupBy(F.col(predicted).alias("label")).agg(F.count(F.lit(1)).alias("npred"))
-    per = (vocab.select("label").join(tp, "label", "left").join(sup, "label", "left")
-                .join(npred, "label", "left").na.fill(0, ["tp", "support", "npred"]))
+        per = sums.where(F.col("label").isNotNull())
+    else:
+        per = vocab.select("label").join(sums, "label", "left").na.fill(0, ["tp", "support", "npred"])
     p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("npred").cast("double")), F.lit(0.0))
     r = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support").cast("double")), F.lit(0.0))
     per = per.withColumns({"precision": p, "recall": r})

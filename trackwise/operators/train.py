@@ -9,7 +9,8 @@ Parity with the reference is by model family, not by number:
 - MLP: one hidden layer of 256 (MLlib: sigmoid units, L-BFGS, no dropout); the
   best of several iteration budgets on the validation split is kept (ties keep
   the earlier), then scored on the test split.
-All fitting is distributed by MLlib; feature maps are native column expressions.
+All fitting is distributed by MLlib. A saved model scores raw features: the
+standardiser is its first stage, the class vocabulary lies beside it.
 """
 
 from __future__ import annotations
@@ -19,12 +20,13 @@ import os
 import time
 
 import numpy as np
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (LinearSVC, MultilayerPerceptronClassifier, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param.shared import HasInputCols, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -50,11 +52,22 @@ UNBOUNDED_DEPTH = 30  # MLlib's deepest tree
 RFF_DIM = 256
 
 
+def seeded_uniforms(n: int, seed: int) -> np.ndarray:
+    """``n`` numbers in (0, 1) from a counter-based 64-bit mixer (splitmix64): the
+    same for every library version, so saved models load with equal weights."""
+    mask = (1 << 64) - 1
+    z = (np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) + np.uint64((seed * 0xD1342543DE82EF95) & mask)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    z = z ^ (z >> np.uint64(31))
+    return ((z >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
+
+
 class RandomFourierFeatures(Transformer, HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     """``sqrt(2/D) * cos(W x + b)`` with ``W ~ N(0, 2 gamma)``, ``b ~ U(0, 2 pi)``.
 
-    The map is a fixed set of ``D`` native column expressions (seeded), so it
-    runs inside whole-stage code generation; no Python per row.
+    W and b follow from the seed (``seeded_uniforms``). One matrix product per
+    Arrow batch in a Pandas UDF.
     """
 
     gamma = Param(Params._dummy(), "gamma", "RBF kernel width", typeConverter=TypeConverters.toFloat)
@@ -70,17 +83,18 @@ class RandomFourierFeatures(Transformer, HasInputCols, HasOutputCol, DefaultPara
     def _transform(self, df: DataFrame) -> DataFrame:
         cols = self.getInputCols()
         d, g, s = self.getOrDefault(self.numFeatures), self.getOrDefault(self.gamma), self.getOrDefault(self.seed)
-        rng = np.random.default_rng(s)
-        w = rng.normal(0.0, math.sqrt(2.0 * g), size=(d, len(cols)))
-        b = rng.uniform(0.0, 2 * math.pi, size=d)
-        scale = math.sqrt(2.0 / d)
-        # W and b are plan constants; one array expression maps x to z.
-        wl = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in w])
-        bl = F.array(*[F.lit(float(v)) for v in b])
-        x = F.array(*[F.col(c).cast("double") for c in cols])
-        z = F.transform(F.arrays_zip(wl.alias("w"), bl.alias("b")), lambda r: F.cos(
-            r["b"] + F.aggregate(F.zip_with(r["w"], x, lambda a, xi: a * xi), F.lit(0.0), lambda s_, t: s_ + t))
-            * F.lit(scale))
+        u = seeded_uniforms(2 * d * len(cols) + d, s)
+        n = d * len(cols)
+        normal = np.sqrt(-2 * np.log(u[:n])) * np.cos(2 * math.pi * u[n:2 * n])  # Box-Muller
+        w = (normal * math.sqrt(2.0 * g)).reshape(d, len(cols))
+        b, scale = u[2 * n:] * 2 * math.pi, math.sqrt(2.0 / d)
+
+        @F.pandas_udf("array<double>")
+        def features(x: pd.Series) -> pd.Series:
+            z = np.cos(np.stack(x.to_numpy()).astype(np.float64) @ w.T + b) * scale if len(x) else np.zeros((0, d))
+            return pd.Series(list(z))
+
+        z = features(F.array(*[F.col(c).cast("double") for c in cols]))
         return df.withColumn(self.getOutputCol(), array_to_vector(z))
 
 
@@ -102,6 +116,12 @@ def prepare_classical(features: DataFrame, feature_cols: list[str], label: str =
     return train, test, vocab, stats
 
 
+def standardiser_stage(stats: dict[str, tuple[float, float]]) -> SQLTransformer:
+    """STANDARDISE as a pipeline stage that is saved with the model."""
+    exprs = [f"CAST({0.0 if not s else f'(`{c}` - {m!r}D) / {s!r}D'} AS DOUBLE) AS `{c}`" for c, (m, s) in stats.items()]
+    return SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(f'`{c}`' for c in stats)}), {', '.join(exprs)} FROM __THIS__")
+
+
 def _evaluator() -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(labelCol="label_index", predictionCol="prediction",
                                              metricName="accuracy")
@@ -116,9 +136,8 @@ def random_forest_search(train: DataFrame, feature_cols: list[str], parallelism:
             .addGrid(rf.maxDepth, [d if d is not None else UNBOUNDED_DEPTH for d in RF_GRID["maxDepth"]])
             .addGrid(rf.minInstancesPerNode, [max(1, m // 2) for m in RF_GRID["min_samples_split"]])
             .build())
-    # the fits are small jobs: run the whole grid of a fold at once
     cv = CrossValidator(estimator=Pipeline(stages=[asm, rf]), estimatorParamMaps=grid, evaluator=_evaluator(),
-                        foldCol="fold", parallelism=max(parallelism, len(grid)), seed=CLASSICAL_SEED)
+                        foldCol="fold", parallelism=parallelism, seed=CLASSICAL_SEED)
     return cv.fit(train), grid
 
 
@@ -189,12 +208,13 @@ def train_classical(features: DataFrame, feature_cols: list[str], model_type: st
     vocab = materialize(vocab, "classical_vocab")
     search = random_forest_search if model_type == "random_forest" else svm_search
     cv_model, grid = search(train, feature_cols, parallelism)
-    preds = predict(cv_model.bestModel, test, vocab)
+    preds = materialize(predict(cv_model.bestModel, test, vocab), "classical_predictions")
     report = M.class_report(preds, vocab=vocab)
     out = {"report": report, "predictions": preds, "grid": grid_table(features.sparkSession, cv_model, grid),
-           "model": cv_model.bestModel, "vocab": vocab, "stats": stats}
+           "vocab": vocab, "stats": stats,
+           "model": PipelineModel(stages=[standardiser_stage(stats), *cv_model.bestModel.stages])}
     if out_dir:
-        out["saved"] = save_run(cv_model.bestModel, vocab, report, out_dir, model_type)
+        out["saved"] = save_run(out["model"], vocab, report, out_dir, model_type)
     train.unpersist()
     return out
 
@@ -210,9 +230,12 @@ def save_run(model: PipelineModel, vocab: DataFrame, report: DataFrame, out_dir:
 
 
 def train_embedding(vectors: DataFrame, key: str = "trajectory_id", label: str = "true_label",
-                    vec: str = "embedding", budgets: tuple[int, ...] = (10, 25, 50, MLP_MAX_ITER)) -> dict:
-    """TRAIN_EMBEDDING: 3-way split, MLP at several iteration budgets, BEST_MODEL
-    on validation accuracy (first maximum wins), test report and MEAN_LOSS."""
+                    vec: str = "embedding", budgets: tuple[int, ...] = (10, 25, 50, MLP_MAX_ITER),
+                    out_dir: str | None = None) -> dict:
+    """TRAIN_EMBEDDING: 3-way split, MLP at several iteration budgets (each goes on
+    from the weights of the one before), BEST_MODEL on validation accuracy (first
+    maximum wins), test report and MEAN_LOSS; with ``out_dir`` the best model, the
+    vocabulary and the report are saved (MODEL_SINK + RUN_DIR)."""
     vocab = M.class_vocab(vectors, label)
     enc = M.encode_labels(vectors, vocab, label, "label_index").withColumn(
         "label_index", F.col("label_index").cast("double"))
@@ -226,20 +249,27 @@ def train_embedding(vectors: DataFrame, key: str = "trajectory_id", label: str =
     val = split.where(F.col("split") == "val")
     test = split.where(F.col("split") == "test")
     ev = _evaluator()
-    best, best_acc, rows = None, -1.0, []
+    best, best_acc, rows, hist, weights, spent = None, -1.0, [], [], None, 0
     for it in budgets:
         mlp = MultilayerPerceptronClassifier(labelCol="label_index", featuresCol="features",
-                                             layers=[dim, MLP_HIDDEN, k], maxIter=it, seed=EMBED_SEED)
+                                             layers=[dim, MLP_HIDDEN, k], maxIter=it - spent, seed=EMBED_SEED)
+        if weights is not None:
+            mlp = mlp.setInitialWeights(weights)
         m = mlp.fit(train)
+        weights, spent = m.weights, it
+        losses = list(m.summary().objectiveHistory) if m.hasSummary else []
+        hist += losses[1:] if hist else losses  # a run starts with the loss that the one before ended with
         acc = ev.evaluate(m.transform(val)) if val.limit(1).count() else 0.0
         rows.append((it, float(acc)))
         if best is None or acc > best_acc:
             best, best_acc = m, acc
     spark = vectors.sparkSession
-    preds = predict(best, test, vocab, key, label)
+    preds = materialize(predict(best, test, vocab, key, label), "embedding_predictions")
     report = M.class_report(preds, vocab=vocab)
-    hist = best.summary().objectiveHistory if best.hasSummary else []
     loss = spark.createDataFrame([(i, float(v)) for i, v in enumerate(hist)], "iteration int, loss double")
     cand = spark.createDataFrame(rows, "max_iter int, val_accuracy double")
     split.unpersist()
-    return {"report": report, "predictions": preds, "candidates": cand, "loss": loss, "model": best}
+    out = {"report": report, "predictions": preds, "candidates": cand, "loss": loss, "model": best, "vocab": vocab}
+    if out_dir:
+        out["saved"] = save_run(PipelineModel(stages=[best]), vocab, report, out_dir, "mlp")
+    return out

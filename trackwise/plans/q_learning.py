@@ -215,6 +215,29 @@ def q_standardise(spark, sf):
     return z.select("unique_id", *[r4(c).alias(c) for c in FEATURE_COLUMNS])
 
 
+def classical_test_sql(body: str) -> str:
+    """``body`` over ``tested`` (unique_id, label: the test rows of the classical
+    split) and ``classes`` (c)."""
+    from .q_trajectory import _FEAT_CTES
+    return with_base_sql(body, _FEAT_CTES + f""",
+fl AS (SELECT unique_id, label FROM feat),
+rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(unique_id || '|42'), unique_id) - 1 AS r FROM fl),
+class_sizes AS (SELECT label, count(*) AS n FROM fl GROUP BY label), {_deal_sql("test", "class_sizes", "n", 0.2)},
+tested AS (SELECT unique_id, rk.label FROM rk JOIN test USING (label) WHERE r < test_n),
+classes AS (SELECT DISTINCT label AS c FROM fl WHERE label IS NOT NULL)""")
+
+
+def embedding_test_sql(body: str) -> str:
+    """The same for the test rows (trajectory_id, label) of the three-way split of
+    the fused vectors."""
+    return vsql(body, f"""
+fl AS (SELECT trajectory_id, l.label FROM fused JOIN vlab l USING (trajectory_id)),
+rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(trajectory_id || '|3407'), trajectory_id) - 1 AS r FROM fl),
+class_sizes AS (SELECT label, count(*) AS n FROM fl GROUP BY label), {_deal_sql("test", "class_sizes", "n", 0.15)},
+tested AS (SELECT trajectory_id, rk.label FROM rk JOIN test USING (label) WHERE r < test_n),
+classes AS (SELECT DISTINCT label AS c FROM fl)""")
+
+
 # ---- vectors and fusion ----------------------------------------------------------------
 
 def _tables(spark, sf):
@@ -314,9 +337,9 @@ def q_label_join(spark, sf):
     img, _ = _tables(spark, sf)
     keyed = E.normalise_key(img, "image")
     lab, missing = E.attach_labels(keyed, _vlab(spark, sf))
-    n_missing = missing.first()["unlabelled"] or 0
-    return lab.select("trajectory_id", F.col("true_label").alias("label"),
-                      F.lit(n_missing).cast("bigint").alias("unlabelled"))
+    # the count is one row, joined in the plan
+    return lab.join(F.broadcast(missing)).select("trajectory_id", F.col("true_label").alias("label"),
+                                                 F.coalesce("unlabelled", F.lit(0)).cast("bigint").alias("unlabelled"))
 
 
 @register("key_to_text", """

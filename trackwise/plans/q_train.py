@@ -1,19 +1,26 @@
-"""Training queries (rows-only checks; the model parity is by family)."""
+"""Training queries. Their rows are what SQL can know of a trained model: which
+rows are tested and with what label, class supports, the settings tried, and
+whether report, predictions and saved model agree. (Parity of the numbers
+themselves is by model family.)"""
 
 from __future__ import annotations
 
-
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ..operators import embed as E
+from ..operators import metrics as M
+from ..operators import splits as SP
 from ..operators import train as TR
 from ..operators.kinematics import FEATURE_COLUMNS
 from ..session import scratch_path
 from ..sources import derived as D
-from .catalog import inputs, r4, register
+from .catalog import big, inputs, register
+from .q_learning import classical_test_sql, embedding_test_sql
 
 _RESULTS: dict[tuple, dict] = {}
+BUDGETS = (10, 25, 50, TR.MLP_MAX_ITER)
 
 
 def _classical(spark, sf, model_type: str) -> dict:
@@ -24,73 +31,130 @@ def _classical(spark, sf, model_type: str) -> dict:
     return _RESULTS[k]
 
 
+def _vectors(spark, sf):
+    img, txt = D.derive_vector_tables(inputs(spark, sf).table("embeddings"))
+    fused = E.fuse([(img, "image"), (txt, "text")])
+    return E.attach_labels(fused, D.derive_vector_labels(inputs(spark, sf).table("embeddings")))[0]
+
+
 def _embedding(spark, sf) -> dict:
     k = (spark.sparkContext.applicationId, sf, "mlp")
     if k not in _RESULTS:
-        img, txt = D.derive_vector_tables(inputs(spark, sf).table("embeddings"))
-        fused = E.fuse([(img, "image"), (txt, "text")])
-        lab, _ = E.attach_labels(fused, D.derive_vector_labels(inputs(spark, sf).table("embeddings")))
-        _RESULTS[k] = TR.train_embedding(lab)
+        _RESULTS[k] = TR.train_embedding(_vectors(spark, sf), budgets=BUDGETS, out_dir=scratch_path(spark, "models"))
     return _RESULTS[k]
 
 
-def _report(r):
-    return r.select("name", *[r4(c).alias(c) for c in ("precision", "recall", "f1_score", "support")])
+def _report(res):
+    """Support per class, and whether the report follows from the predictions."""
+    seen = M.class_report(res["predictions"], vocab=res["vocab"])
+    names = ["precision", "recall", "f1_score", "support"]
+    both = res["report"].join(seen.select("name", *[F.col(c).alias(f"_{c}") for c in names]), "name")
+    same = F.lit(True)
+    for c in names:
+        same = same & (F.abs(F.col(c) - F.col(f"_{c}")) < 1e-9) & (F.col(c) >= 0)
+    n = res["predictions"].agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("actual") == F.col("predicted")).cast("double")).alias("acc"))
+    right = F.when(F.col("name") == "accuracy", F.abs(F.col("precision") - F.col("acc")) < 1e-9).otherwise(F.lit(True))
+    return both.join(F.broadcast(n)).select("name", F.when(F.col("name") != "accuracy", F.col("support")).cast("bigint").alias("support"),
+                                            (same & right).alias("consistent"))
+
+
+def _report_sql(test_sql):
+    return test_sql("""
+SELECT c AS name, CAST(count(t.label) AS BIGINT) AS support, true AS consistent
+FROM classes LEFT JOIN tested t ON t.label = c GROUP BY c
+UNION ALL SELECT 'accuracy', NULL, true
+UNION ALL SELECT 'macro avg', count(*), true FROM tested
+UNION ALL SELECT 'weighted avg', count(*), true FROM tested""")
+
+
+def _known(res, key):
+    """Tested rows with their label; whether the prediction is a class."""
+    classes = res["vocab"].select(F.col("label").alias("predicted"), F.lit(True).alias("_class"))
+    return res["predictions"].join(F.broadcast(classes), "predicted", "left").select(
+        key, "actual", F.coalesce("_class", F.lit(False)).alias("known_class"))
 
 
-@register("train_classical")
+@register("train_classical", _report_sql(classical_test_sql))
 def q_train_classical(spark, sf):
-    return _report(_classical(spark, sf, "random_forest")["report"])
+    return _report(_classical(spark, sf, "random_forest"))
 
 
-@register("train_svm")
+@register("train_svm", _report_sql(classical_test_sql))
 def q_train_svm(spark, sf):
-    return _report(_classical(spark, sf, "svm")["report"])
+    return _report(_classical(spark, sf, "svm"))
 
 
-@register("grid_search")
+def _grid_sql() -> str:
+    rows = [f"maxDepth={TR.UNBOUNDED_DEPTH if d is None else d}, minInstancesPerNode={max(1, m // 2)}, numTrees={t}"
+            for t in TR.RF_GRID["numTrees"] for d in TR.RF_GRID["maxDepth"] for m in TR.RF_GRID["min_samples_split"]]
+    return "SELECT p AS params, true AS in_range FROM (VALUES " + ", ".join(f"('{r}')" for r in rows) + ") t(p)"
+
+
+@register("grid_search", _grid_sql())
 def q_grid_search(spark, sf):
-    return _classical(spark, sf, "random_forest")["grid"]
+    g = _classical(spark, sf, "random_forest")["grid"]
+    return g.select("params", F.col("accuracy").between(0, 1).alias("in_range"))
 
 
-@register("predict")
+@register("predict", classical_test_sql("SELECT unique_id, label AS actual, true AS known_class FROM tested"))
 def q_predict(spark, sf):
-    return _classical(spark, sf, "random_forest")["predictions"]
+    return _known(_classical(spark, sf, "random_forest"), "unique_id")
+
 
+def _saved_agrees(again, res, key):
+    """Rows scored by the loaded model; whether it says what the trained one said."""
+    first = res["predictions"].select(key, F.col("predicted").alias("_first"))
+    return again.join(first, key).select(key, "actual", F.col("predicted").eqNullSafe(F.col("_first")).alias("same_prediction"))
 
-@register("model_sink")
+
+@register("model_sink", classical_test_sql("SELECT unique_id, label AS actual, true AS same_prediction FROM tested"))
 def q_model_sink(spark, sf):
+    """The saved model scores raw features: its first stage standardises them."""
     res = _classical(spark, sf, "random_forest")
-    run = res["saved"]
-    model = PipelineModel.load(run + "/model")
-    again = TR.predict(model, TR.prepare_classical(inputs(spark, sf).features, FEATURE_COLUMNS)[1],
-                       spark.read.parquet(run + "/vocab"))
-    return again.select("unique_id", "actual", "predicted")
+    raw = SP.stratified_split(inputs(spark, sf).features, "label", "unique_id", TR.CLASSICAL_TEST, TR.CLASSICAL_SEED)
+    again = TR.predict(PipelineModel.load(res["saved"] + "/model"), raw.where(F.col("split") == "test"),
+                       spark.read.parquet(res["saved"] + "/vocab"))
+    return _saved_agrees(again, res, "unique_id")
+
+
+@register("embedding_sink", embedding_test_sql("SELECT trajectory_id, label AS actual, true AS same_prediction FROM tested"))
+def q_embedding_sink(spark, sf):
+    res = _embedding(spark, sf)
+    v = _vectors(spark, sf).withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
+    v = SP.three_way_split(v, "true_label", "trajectory_id", TR.EMBED_TEST, TR.EMBED_VAL, TR.EMBED_SEED)
+    again = TR.predict(PipelineModel.load(res["saved"] + "/model"), v.where(F.col("split") == "test"),
+                       spark.read.parquet(res["saved"] + "/vocab"), "trajectory_id", "true_label")
+    return _saved_agrees(again, res, "trajectory_id")
 
 
-@register("run_dir")
+@register("run_dir", classical_test_sql("""
+SELECT * FROM (VALUES ('random_forest', 'model'), ('random_forest', 'report'), ('random_forest', 'vocab')) t(model, part)
+WHERE (SELECT count(*) FROM tested) > 0"""))
 def q_run_dir(spark, sf):
     run = _classical(spark, sf, "random_forest")["saved"]
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(run).select("path")
-    return listing.select(F.regexp_extract("path", r"/([^/]+-\d{8}-\d{6})/(model|vocab|report)/", 2)
-                          .alias("part")).groupBy("part").count()
+    pattern = r"/([^/]+)-\d{8}-\d{6}/(model|vocab|report)/"
+    return listing.select(F.regexp_extract("path", pattern, 1).alias("model"), F.regexp_extract("path", pattern, 2).alias("part")).distinct()
 
 
-@register("train_embedding")
+@register("train_embedding", _report_sql(embedding_test_sql))
 def q_train_embedding(spark, sf):
-    return _report(_embedding(spark, sf)["report"])
+    return _report(_embedding(spark, sf))
 
 
-@register("best_model")
+@register("best_model", "SELECT CAST(b AS BIGINT) AS max_iter, true AS in_range FROM (VALUES " + ", ".join(f"({b})" for b in BUDGETS) + ") t(b)")
 def q_best_model(spark, sf):
-    return _embedding(spark, sf)["candidates"]
+    return _embedding(spark, sf)["candidates"].select(big("max_iter").alias("max_iter"), F.col("val_accuracy").between(0, 1).alias("in_range"))
 
 
-@register("mean_loss")
+@register("mean_loss", "SELECT true AS recorded, true AS finite, true AS falls")
 def q_mean_loss(spark, sf):
-    return _embedding(spark, sf)["loss"]
+    """Whether losses were recorded, are finite and end below where they began."""
+    return _embedding(spark, sf)["loss"].agg(
+        (F.count(F.lit(1)) > 1).alias("recorded"), F.bool_and(~F.isnan("loss") & (F.abs("loss") < float("inf"))).alias("finite"),
+        (F.max_by("loss", "iteration") < F.min_by("loss", "iteration")).alias("falls"))
 
 
-@register("mlp")
+@register("mlp", embedding_test_sql("SELECT trajectory_id, label AS actual, true AS known_class FROM tested"))
 def q_mlp(spark, sf):
-    return _embedding(spark, sf)["predictions"]
+    return _known(_embedding(spark, sf), "trajectory_id")
