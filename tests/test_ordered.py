@@ -44,3 +44,27 @@ def test_same_for_any_partition_count(spark, data):
         outs.append(sorted(with_previous(data, ["k"], ["ts", "id"], ["v"]).select("id", "prev_v").collect()))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert outs[0] == outs[1] == outs[2]
+
+
+def test_two_previous_rows_equal_plain_lags(spark):
+    """Both previous rows, for any bucket width: buckets of one row, of many, and gaps."""
+    import random
+    from datetime import datetime, timedelta
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from trackwise.operators.ordered import with_previous
+    rng = random.Random(4)
+    rows = []
+    for key in "abc":
+        t = datetime(2024, 1, 1)
+        for i in range(200 if key == "a" else 7):
+            t += timedelta(seconds=rng.choice([1, 30, 4000, 90_000]))
+            rows.append((key, t, i))
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v int")
+    w = Window.partitionBy("k").orderBy("ts")
+    want = {tuple(r) for r in df.select("k", "v", F.lag("v").over(w), F.lag("v", 2).over(w)).collect()}
+    for width in (1, 3600, 86400, 10**9):
+        got = with_previous(df, ["k"], ["ts"], ["v"], prefix="p_", prefix2="q_", bucket_s=width)
+        assert {tuple(r) for r in got.select("k", "v", "p_v", "q_v").collect()} == want

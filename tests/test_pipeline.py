@@ -20,7 +20,7 @@ def test_counts_sf0001(spark):
     assert lab.count() == 39
     assert m.count() == 917
     assert m.select("unique_id").distinct().count() == 52
-    assert c.count() == 776
+    assert c.count() == 771
     assert c.select("unique_id").distinct().count() == 46
 
 

@@ -4,9 +4,10 @@ Order matters and follows the reference: range (and finite longitude) -> dedup (
 -> previous point (the first point of each trajectory is dropped for good) ->
 ellipsoidal speed <= limit, one pass -> count survivors >= minimum.
 
-The big table is shuffled once, on ``(unique_id, hour bucket)``; the dedup
-window (partitioned by ``unique_id, bucket, ts``) and the previous-point window
-both run on that partitioning, so a hot trajectory is split by hour.
+The wide rows are shuffled on ``(unique_id, day bucket)``; the dedup window
+(partitioned by ``unique_id, bucket, ts``) and the previous-point window both run
+on that partitioning, so a hot trajectory is split by day. The carried rows and
+the count of survivors read the input again with fewer columns (``ordered``).
 """
 
 from __future__ import annotations

@@ -8,9 +8,10 @@ mean step is > 1e-6, else 0. With fewer than three speeds the missing top
 values fall back to the first (largest). Trajectories with < 3 points are left
 out; a duration <= 1e-6 s gives all zeros.
 
-Plan: two bucketed previous-row passes on ``(unique_id, hour)`` (one shuffle
-of the points), top-3 candidates per hour by windows on that partitioning, and
-one partial aggregation per trajectory for everything.
+Plan: one bucketed pass on ``(unique_id, day)`` brings the previous point and the
+one before it, so a step's speed and that of the step before are known in one
+row; top-3 candidates per day by windows on that partitioning; one partial
+aggregation per trajectory for everything.
 """
 
 from __future__ import annotations
@@ -28,26 +29,25 @@ MIN_FEATURE_POINTS = 3
 def step_kinematics(points: DataFrame, bucket_s: int = DEFAULT_BUCKET_S, keep_bucket: bool = False,
                     carry: tuple[str, ...] = (), acceleration: bool = True) -> DataFrame:
     """STEP_KINEMATICS + STEP_ACCEL: one row per point after the first
-    (``acceleration=False``: without ``acc`` and the second pass that it needs).
+    (``acceleration=False``: without ``acc``).
 
     Columns added: ``step_m, dt_s, v, acc`` (acc of the first step is 0) and
     ``p_<c>`` for every column in ``carry`` (value at the previous point).
     """
     d = points.withColumn("_bkt", time_bucket("ts", bucket_s)).repartition("unique_id", "_bkt")
-    d = with_previous(d, ["unique_id"], ["ts"], ["lat", "lon", "ts", *carry], prefix="p_", bucket_s=bucket_s)
+    d = with_previous(d, ["unique_id"], ["ts"], ["lat", "lon", "ts", *carry], prefix="p_", bucket_s=bucket_s,
+                      prefix2="pp_" if acceleration else None)
     steps = (d.where(F.col("p_ts").isNotNull())
               .withColumn("step_m", haversine_m("p_lat", "p_lon", "lat", "lon"))
               .withColumn("dt_s", F.greatest(duration_s("p_ts", "ts"), F.lit(MIN_STEP_S)))
               .withColumn("v", F.col("step_m") / F.col("dt_s")))
-    if not acceleration:
-        out = steps.drop("p_lat", "p_lon")
-        return out if keep_bucket else out.drop("_bkt")
-    steps = with_previous(steps, ["unique_id"], ["ts"], ["v", "dt_s"], prefix="q_", bucket_s=bucket_s)
-    mean_dt = (F.col("dt_s") + F.col("q_dt_s")) / 2.0
-    acc = (F.when(F.col("q_v").isNull(), F.lit(0.0))
-            .when(mean_dt > MIN_STEP_S, (F.col("v") - F.col("q_v")) / mean_dt)
-            .otherwise(F.lit(0.0)))
-    out = steps.withColumn("acc", acc).drop("p_lat", "p_lon", "q_v", "q_dt_s")
+    if acceleration:
+        q_dt = F.greatest(duration_s("pp_ts", "p_ts"), F.lit(MIN_STEP_S))
+        q_v = haversine_m("pp_lat", "pp_lon", "p_lat", "p_lon") / q_dt
+        mean_dt = (F.col("dt_s") + q_dt) / 2.0
+        steps = steps.withColumn("acc", F.when(F.col("pp_ts").isNull(), F.lit(0.0))
+                                 .when(mean_dt > MIN_STEP_S, (F.col("v") - q_v) / mean_dt).otherwise(F.lit(0.0)))
+    out = steps.drop("p_lat", "p_lon", *(f"pp_{c}" for c in ("lat", "lon", "ts", *carry)))
     return out if keep_bucket else out.drop("_bkt")
 
 
@@ -65,11 +65,11 @@ def kinematic_features(clean: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> Da
     Rows with no transport mode are dropped first; ``label`` is the mode of the
     earliest point (FIRST_LABEL).
 
-    One shuffle of the points on ``(unique_id, hour)`` feeds both previous-row
-    passes and the per-hour top-3 candidates (windows on the same partitioning);
-    then a single ``groupBy(unique_id)`` computes everything with partial
-    aggregation. The top-3 lists gather at most 3 values per hour of a
-    trajectory, never its points.
+    One shuffle of the points on ``(unique_id, day)`` feeds the previous-rows pass
+    and the per-day top-3 candidates (windows on the same partitioning), a narrow
+    one the carried rows; then a single ``groupBy(unique_id)`` computes everything
+    with partial aggregation. The top-3 lists gather at most 3 values per day of a
+    trajectory.
     """
     pts = clean.where(F.col("transport_mode").isNotNull())
     steps = step_kinematics(pts, bucket_s, keep_bucket=True, carry=("transport_mode",)).withColumns({

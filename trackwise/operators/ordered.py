@@ -4,17 +4,18 @@ A window ``partitionBy(key).orderBy(ts)`` sends every row of a key to one
 task; with a hot key holding a third of all rows that task never ends. Both
 helpers here split each key into time buckets:
 
-1. the ordered window runs per ``(key, bucket)``: many small, bounded groups;
+1. the ordered window runs per ``(key, bucket)``: bounded groups;
 2. one row per ``(key, bucket)`` carries what crosses the bucket edge (the
-   bucket's last row, or its total), read off a window on the same
-   partitioning (Catalyst prunes this branch to the key, bucket and carried
-   columns, so its shuffle is narrow);
+   bucket's last rows, or its total), read off a window on the same
+   partitioning;
 3. a window per key over that small bucket table passes the carry forward;
-4. an equi-join on ``(key, bucket)`` fixes up the first row of each bucket.
+4. an equi-join on ``(key, bucket)`` fixes up the first rows of each bucket.
 
-The wide rows are shuffled once, on ``(key, bucket)``; the fix-up join with the
-small carry table needs no further movement of them. The results equal the
-plain per-key window exactly, for any bucket width.
+The input is read twice: all columns once, and once only the key, order and
+carried columns (Catalyst prunes that branch, so its shuffle is narrow). Buckets
+should hold many rows of a key, or the carry table is as large as the data; the
+default is a day. The results equal the plain per-key window exactly, for any
+bucket width.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Default bucket width: one hour of event time.
-DEFAULT_BUCKET_S = 3600
+# Default bucket width: one day of event time.
+DEFAULT_BUCKET_S = 86400
 
 
 def time_bucket(ts: str | Column, bucket_s: int = DEFAULT_BUCKET_S) -> Column:
@@ -36,11 +37,12 @@ def time_bucket(ts: str | Column, bucket_s: int = DEFAULT_BUCKET_S) -> Column:
 
 def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
                   prefix: str = "prev_", bucket_s: int = DEFAULT_BUCKET_S,
-                  bucket_col: str = "_bkt") -> DataFrame:
-    """Add ``prefix + c`` = value of ``c`` in the previous row of the same key.
+                  bucket_col: str = "_bkt", prefix2: str | None = None) -> DataFrame:
+    """Add ``prefix + c`` = value of ``c`` in the previous row of the same key and,
+    with ``prefix2``, ``prefix2 + c`` = its value in the row before that.
 
     ``order[0]`` must be a timestamp; the rest are tie-breakers making the
-    order total. The first row of each key gets nulls, as ``lag`` would.
+    order total. The first rows of each key get nulls, as ``lag`` would.
     """
     keys = list(keys)
     order = list(order)
@@ -49,24 +51,29 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols
     d = df if has_bucket else df.withColumn(bucket_col, time_bucket(order[0], bucket_s))
     w_in = Window.partitionBy(*keys, bucket_col).orderBy(*order)
     w_all = w_in.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    d = d.withColumn("_rn_in", F.row_number().over(w_in))
-    d = d.withColumn("_last", F.last(F.struct(*cols)).over(w_all))
-    for c in cols:
-        d = d.withColumn(prefix + c, F.lag(c).over(w_in))
+    d = d.withColumn("_rn_in", F.row_number().over(w_in)).withColumn("_row", F.struct(*cols))
+    d = d.withColumn("_p1", F.lag("_row").over(w_in)).withColumn("_last", F.last("_row").over(w_all))
+    if prefix2:
+        d = d.withColumn("_p2", F.lag("_row", 2).over(w_in)).withColumn("_last2", F.last("_p1").over(w_all))
 
-    # one row per bucket: its last row, passed on to the next bucket of the key
-    last = d.where(F.col("_rn_in") == 1).select(*keys, bucket_col, "_last")
+    # one row per bucket: its last rows, passed on to the next bucket of the key
     w_b = Window.partitionBy(*keys).orderBy(bucket_col)
-    carry = (last.withColumn("_carry", F.lag("_last").over(w_b))
-                 .where(F.col("_carry").isNotNull())
-                 .select(*keys, bucket_col, "_carry"))
+    carry = d.where(F.col("_rn_in") == 1).select(*keys, bucket_col, "_last", *(["_last2"] if prefix2 else []))
+    carry = carry.withColumn("_carry", F.lag("_last").over(w_b))
+    if prefix2:
+        carry = carry.withColumn("_carry2", F.coalesce(F.lag("_last2").over(w_b), F.lag("_last", 2).over(w_b)))
+    carry = carry.where(F.col("_carry").isNotNull()).drop("_last", "_last2")
 
     out = d.join(carry, on=[*keys, bucket_col], how="left")
-    first = F.col("_rn_in") == 1
+    first, second = F.col("_rn_in") == 1, F.col("_rn_in") == 2
+    out = out.withColumn("_p1", F.when(first, F.col("_carry")).otherwise(F.col("_p1")))
+    if prefix2:
+        out = out.withColumn("_p2", F.when(first, F.col("_carry2")).when(second, F.col("_carry")).otherwise(F.col("_p2")))
     for c in cols:
-        out = out.withColumn(prefix + c,
-                             F.when(first, F.col("_carry." + c)).otherwise(F.col(prefix + c)))
-    out = out.drop("_carry", "_rn_in", "_last")
+        out = out.withColumn(prefix + c, F.col("_p1." + c))
+        if prefix2:
+            out = out.withColumn(prefix2 + c, F.col("_p2." + c))
+    out = out.drop("_carry", "_carry2", "_rn_in", "_row", "_p1", "_p2", "_last", "_last2")
     return out if has_bucket else out.drop(bucket_col)
 
 

@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import point_line
-from .ordered import DEFAULT_BUCKET_S, time_bucket
+from .ordered import time_bucket
 
+#: Width of a sequence part: one hour of event time.
+PART_S = 3600
 
-def sequence_parts(clean: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
+
+def sequence_parts(clean: DataFrame, bucket_s: int = PART_S) -> DataFrame:
     """SEQ_BUILD: ``unique_id, part, time_sequence array<struct<ts,lat,lon>>``."""
     return (clean.withColumn("part", time_bucket("ts", bucket_s))
                  .groupBy("unique_id", "part")
@@ -29,7 +32,7 @@ def first_label(clean: DataFrame) -> DataFrame:
                  .agg(F.min_by("transport_mode", "ts").alias("label")))
 
 
-def labelled_sequence_parts(clean: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
+def labelled_sequence_parts(clean: DataFrame, bucket_s: int = PART_S) -> DataFrame:
     """SEQ_BUILD_LABELLED: ``unique_id, part, time_sequence array<struct<lat,lon>>, label``.
 
     The label is the first non-null mode of the whole trajectory.
