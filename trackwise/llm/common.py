@@ -2,18 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
-__all__ = ["materialize", "read_table", "shuffle_partitions", "connected_components"]
+__all__ = ["materialize", "read_table", "shuffle_partitions", "text_batches", "connected_components"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Rows of an Arrow batch where rows hold whole texts or sets.
+TEXT_BATCH_ROWS = 1000
+
+
+@contextmanager
+def text_batches(spark: SparkSession, rows: int = TEXT_BATCH_ROWS) -> Iterator[None]:
+    """Smaller Arrow batches for plans made and run inside the block, so that a
+    batch of long texts stays small in the executor and in its Python worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -35,21 +35,24 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize, shuffle_partitions
+from .common import connected_components, materialize, shuffle_partitions, text_batches
 from .wordhash import U, Words, mix, row_chunks, shingle_sets
 
 SHINGLE_WORDS = 5
 #: Similarity threshold as a fraction num / den.
 THRESHOLD = (75, 100)
-#: Part words that a task holds before it writes them out.
-FLUSH_WORDS = 2_000_000
+#: Part words that a task holds before it writes them out, and about those of a bucket.
+FLUSH_WORDS = 1_000_000
+BUCKET_WORDS = 1_000_000
 #: Documents checked against one hub in one task.
 HUB_BLOCK = 256
 #: Bits of the map of the documents whose sets are read (a fixed megabyte).
 FILTER_BITS = 1 << 23
+#: Rows (word, document) of a group whose sketches are compared.
+GROUP_ROWS = 20_000
 #: 64-bit sketch words compared at a time.
 SKETCH_CELLS = 2_000_000
 _ALONE = U(0x5851F42D4C957F2D)
@@ -118,6 +121,18 @@ def bit_sketch(hashes: np.ndarray) -> bytes:
     return np.packbits((flips & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
+def _pack_ids(ids: np.ndarray) -> bytes:
+    """The smallest id, then the distances from it in 4 bytes each, or 8 if they need it."""
+    low = int(ids.min())
+    far = (ids.astype(U) - U(low % (1 << 64)))
+    return np.int64(low).tobytes() + far.astype(np.uint32 if int(far.max()) < 1 << 32 else U).tobytes()
+
+
+def _unpack_ids(raw: bytes, n: int) -> np.ndarray:
+    far = np.frombuffer(raw, dtype=np.uint32 if len(raw) == 8 + 4 * n else U, offset=8)
+    return (far.astype(U) + np.frombuffer(raw, dtype=U, count=1)).view(np.int64)
+
+
 def _set_rows(k: int, t: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -164,7 +179,7 @@ def _word_rows(k: int, t: tuple[int, int], buckets: int):
                 rows["bucket"].append(i)
                 rows["words"].append(low[a:z].tobytes())
                 rows["who"].append((local * 4 + (who[a:z] & 3)).astype(np.uint32 if len(own) > 16383 else np.uint16).tobytes())
-                rows["docs"].append(doc[own, 0].tobytes())
+                rows["docs"].append(_pack_ids(doc[own, 0]))
                 rows["sets"].append(doc[own, 1].astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows["bucket"], pa.int32())] + [pa.array(rows[c], pa.binary()) for c in ("words", "who", "docs", "sets")],
@@ -198,8 +213,8 @@ def _shared_words(pdf: pd.DataFrame) -> pd.DataFrame:
         who = np.frombuffer(who, dtype=np.uint16 if len(who) == 2 * len(words[-1]) else np.uint32)
         tags.append((who & 3).astype(np.uint8))
         places.append(who >> 2)
-    sizes = [len(d) // 8 for d in pdf["docs"]]
-    docs = np.frombuffer(b"".join(pdf["docs"]), dtype=np.int64)
+    sizes = [len(s) // 4 for s in pdf["sets"]]
+    docs = np.concatenate([_unpack_ids(d, n) for d, n in zip(pdf["docs"], sizes)])
     sets = np.frombuffer(b"".join(pdf["sets"]), dtype=np.uint32)
     place = np.concatenate([p.astype(np.int64) + base for p, base in zip(places, np.cumsum([0] + sizes))])
     w, tag = np.concatenate(words), np.concatenate(tags)
@@ -277,9 +292,9 @@ def verified(pairs: DataFrame, sets: DataFrame, t: tuple[int, int] = THRESHOLD)
     copy of the hub's set."""
     blocks = pairs.groupBy("hub").agg(F.ceil(F.count("*") / HUB_BLOCK).alias("blocks"))
     dealt = pairs.join(blocks, "hub").select("hub", "doc", F.pmod(F.xxhash64("doc"), F.col("blocks")).alias("block"))
-    members = dealt.join(sets.select("doc", "hashes"), "doc").select("hub", "block", F.col("doc").cast("string").alias("doc"), "hashes")
+    members = dealt.join(sets.select("doc", "hashes").hint("merge"), "doc").select("hub", "block", F.col("doc").cast("string").alias("doc"), "hashes")
     hubs = blocks.select("hub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")).join(
-        sets.select(F.col("doc").alias("hub"), "hashes"), "hub").select("hub", "block", F.lit(None).cast("string").alias("doc"), "hashes")
+        sets.select(F.col("doc").alias("hub"), "hashes").hint("merge"), "hub").select("hub", "block", F.lit(None).cast("string").alias("doc"), "hashes")
     return members.unionByName(hubs).groupBy("hub", "block").applyInPandas(_check_block(t), "src long, dst long")
 
 
@@ -318,32 +333,57 @@ def _sketch_pairs(t: tuple[int, int]):
         return found
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        word = pdf["word"].to_numpy()
-        order = np.argsort(word, kind="stable")
-        cols = [pdf[c].to_numpy()[order] for c in ("doc", "component", "n", "sketch")]
-        cut = np.flatnonzero(np.concatenate([[True], word[order][1:] != word[order][:-1], [True]]))
+        own = pdf["sketch"].notna().to_numpy()
+        docs = pdf[own].drop_duplicates("doc").sort_values("doc")
+        ids = docs["doc"].to_numpy()
+        comp, n, sketch = (docs[c].to_numpy() for c in ("component", "n", "sketch"))
+        rows = pdf[~own].sort_values("word")
+        word, at = rows["word"].to_numpy(), np.searchsorted(ids, rows["doc"].to_numpy())
+        cut = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1], [True]])) if len(word) else np.zeros(0, dtype=int)
         found = [np.zeros((0, 2), dtype=np.int64)]
         for a, z in zip(cut[:-1].tolist(), cut[1:].tolist()):
-            found += compare(*(c[a:z] for c in cols))
+            found += compare(*(c[at[a:z]] for c in (ids, comp, n, sketch)))
         return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["hub", "doc"]).astype("int64")
     return run
 
 
+def _far_pairs(named: DataFrame, sets: DataFrame, t: tuple[int, int]) -> DataFrame:
+    """Pairs of different components that share a word and whose sketches allow a
+    link. Words go where other words of their hub go, about GROUP_ROWS rows
+    together, so a document's sketch is sent once a group, not once a word."""
+    groups = named.groupBy("hub").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("groups"))
+    rows = named.join(groups, "hub").select("hub", F.pmod(F.xxhash64("word"), F.col("groups")).alias("part"), "word", "doc", "component")
+    sketches = rows.select("hub", "part", "doc", "component").distinct().join(
+        sets.select("doc", "sketch", (F.length("hashes") / 8).cast("long").alias("n")).hint("merge"), "doc").select(
+        "hub", "part", F.lit(None).cast("long").alias("word"), "doc", "component", "n", "sketch")
+    rows = rows.withColumn("n", F.lit(None).cast("long")).withColumn("sketch", F.lit(None).cast("binary"))
+    return rows.unionByName(sketches).groupBy("hub", "part").applyInPandas(_sketch_pairs(t), "hub long, doc long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS,
                     t: tuple[int, int] = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest
     doc_id reachable over links, itself included)."""
+    with text_batches(docs.sparkSession):
+        return _near_duplicates(docs, id_col, text_col, k, t)
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, k: int, t: tuple[int, int]) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sized = materialize(docs.mapInArrow(
         _set_rows(k, t), "doc_id long, n_shingles long, f1 long, f2 long, least0 long, least1 long"), "sets")
-    words = docs.mapInArrow(_word_rows(k, t, shuffle_partitions(spark)), "bucket int, words binary, who binary, docs binary, sets binary")
+    # one number reaches the driver: the shingles of all sets
+    total = sized.agg(F.sum("n_shingles")).first()[0] or 0
+    buckets = max(2 * shuffle_partitions(spark), total // BUCKET_WORDS)
+    words = docs.mapInArrow(_word_rows(k, t, buckets), "bucket int, words binary, who binary, docs binary, sets binary")
     shared = materialize(words.groupBy("bucket").applyInPandas(_shared_words, "word long, doc long, space int"), "shared")
     # a set that shares too few words of a space resembles none that it meets there
     least = sized.groupBy("doc_id").agg(F.min("least0").alias("least0"), F.min("least1").alias("least1"))
-    enough = shared.groupBy("doc", "space").agg(F.count("*").alias("n")).join(least.withColumnRenamed("doc_id", "doc"), "doc").where(
-        "n >= CASE space WHEN 0 THEN least0 WHEN 1 THEN least1 ELSE 1 END").select("doc", "space", "n")
-    shared = shared.join(enough, ["doc", "space"]).select("word", "doc", "n")
+    # (a window over one document's words: as long as the document at most)
+    counted = shared.repartition("doc").join(least.withColumnRenamed("doc_id", "doc").hint("merge"), "doc").withColumn(
+        "n", F.count("*").over(Window.partitionBy("doc", "space")))
+    shared = counted.where("n >= CASE space WHEN 0 THEN least0 WHEN 1 THEN least1 ELSE 1 END").select("word", "doc", "n")
     # the hub of a word: the document that shares most words, then the smallest id
     hubs = shared.groupBy("word").agg(F.max(F.struct("n", (-F.col("doc")).alias("minus"))).alias("hub"), F.min("doc").alias("a"),
                                       F.max("doc").alias("z")).where("a <> z").select("word", "hub")
@@ -363,10 +403,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tested = materialize(first.select("hub", "doc"), "tested")
     links = materialize(verified(tested, sets, t), "links")
     # 2: in words that still hold several components, against the word's hub
+    named = shared.select("word", "doc", (-F.col("hub.minus")).alias("hub"))
     for stars in (True, False):
         comp = connected_components(links)
-        named = shared.select("word", "doc", (-F.col("hub.minus")).alias("hub")).join(
-            comp.withColumnRenamed("id", "doc"), "doc", "left").select(
+        named = named.select("word", "doc", "hub").join(comp.withColumnRenamed("id", "doc"), "doc", "left").select(
             "word", "doc", "hub", F.coalesce("component", "doc").alias("component"))
         # words met by the same documents are one group
         mixed = named.groupBy("word").agg(
@@ -379,9 +419,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = named.join(hubs, "word").where("component <> hub_component").select("hub", "doc")
         else:
             # 3: across components only, sketches first
-            sketched = named.join(sets.select("doc", "sketch", (F.length("hashes") / 8).cast("long").alias("n")), "doc")
-            pairs = sketched.groupBy(F.pmod(F.xxhash64("word"), F.lit(8 * shuffle_partitions(spark)))).applyInPandas(
-                _sketch_pairs(t), "hub long, doc long")
+            pairs = _far_pairs(named, sets, t)
         pairs = pairs.distinct().join(tested, ["hub", "doc"], "left_anti")
         pairs = materialize(pairs, "pairs")
         links = materialize(links.unionByName(verified(pairs, sets, t)), "links")

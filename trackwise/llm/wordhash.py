@@ -16,7 +16,7 @@ import pyarrow as pa
 U = np.uint64
 _PRIME = 0xD1342543DE82EF95
 _INVERSE = pow(_PRIME, -1, 1 << 64)
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
