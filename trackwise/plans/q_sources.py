@@ -20,7 +20,8 @@ from .sqlparts import with_base
 
 
 def _dir(spark, name: str) -> str:
-    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    # a blank and a plus, as in the paths that users have
+    return scratch_path(spark, f"{name} files+{uuid.uuid4().hex[:12]}")
 
 
 @register("plt_scan", with_base("""
@@ -40,6 +41,47 @@ def q_plt_scan(spark, sf):
                 "first_ts")
 
 
+@register("user_scan", with_base("""
+SELECT CAST(user_id AS BIGINT) AS user_id, CAST(count(*) AS BIGINT) AS n_points, CAST(count(DISTINCT plt_idx) AS BIGINT) AS n_files
+FROM points WHERE user_id BETWEEN 3 AND 60 GROUP BY user_id"""))
+def q_user_scan(spark, sf):
+    """Users in an inclusive range."""
+    root = _dir(spark, "users")
+    FS.write_plt(inputs(spark, sf).points, root)
+    p = FS.read_plt(spark, f"{root}/u=*/f=*/*.txt", user_min=3, user_max=60, user_pattern=r"/u=(\d+)/f=")
+    return p.groupBy(big("user_id").alias("user_id")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_points"), F.countDistinct("plt_idx").cast("bigint").alias("n_files"))
+
+
+@register("drop_null", with_base("""
+SELECT CAST(user_id AS BIGINT) AS user_id, CAST(count(*) AS BIGINT) AS n_points
+FROM points WHERE line_no % 13 <> 0 GROUP BY user_id"""))
+def q_drop_null(spark, sf):
+    """Point lines without a time are dropped."""
+    root = _dir(spark, "untimed")
+    p = inputs(spark, sf).points
+    FS.write_plt(p.withColumn("ts", F.when(F.col("line_no") % 13 != 0, F.col("ts"))), root)
+    r = FS.read_plt(spark, f"{root}/u=*/f=*/*.txt", user_pattern=r"/u=(\d+)/f=")
+    return r.groupBy(big("user_id").alias("user_id")).agg(F.count(F.lit(1)).cast("bigint").alias("n_points"))
+
+
+@register("ts_parse", with_base(f"""
+SELECT CAST(user_id AS BIGINT) AS user_id, CAST(label_idx AS BIGINT) AS label_idx, {ts_sql('start_ts')} AS start_ts
+FROM lab WHERE (user_id + label_idx) % 4 <> 0"""))
+def q_ts_parse(spark, sf):
+    """Label lines whose time does not parse are dropped; the others keep their numbers."""
+    root = _dir(spark, "times")
+    lab = inputs(spark, sf).labels
+    when = F.date_format("start_ts", FS.LABEL_TS_FORMAT)
+    start = F.when((F.col("user_id") + F.col("label_idx")) % 4 == 0, F.concat(F.lit("on "), when)).otherwise(when)
+    body = lab.select(F.format_string("%03d", "user_id").alias("u"), F.col("label_idx").cast("long").alias("o"), F.concat_ws(
+        "\t", start, F.date_format("end_ts", FS.LABEL_TS_FORMAT), "transport_mode").alias("value"))
+    head = body.select("u").distinct().select("u", F.lit(-1).cast("long").alias("o"), F.lit("header").alias("value"))
+    (body.unionByName(head).repartition("u").sortWithinPartitions("u", "o").drop("o").write.partitionBy("u").text(root))
+    r = FS.read_labels(spark, f"{root}/u=*/*.txt", user_pattern=r"/u=(\d+)/")
+    return r.select(big("user_id").alias("user_id"), big("label_idx").alias("label_idx"), tstr("start_ts").alias("start_ts"))
+
+
 @register("label_scan", with_base(f"""
 SELECT CAST(user_id AS BIGINT) AS user_id, CAST(label_idx AS BIGINT) AS label_idx, {ts_sql('start_ts')} AS start_ts,
        {ts_sql('end_ts')} AS end_ts, transport_mode FROM lab"""))
@@ -66,14 +108,20 @@ def q_geojson_io(spark, sf):
 
 @register("graphml_scan", msql("""
 SELECT feature_id AS edge, round(minx, 6) AS minx, round(miny, 6) AS miny, round(maxx, 6) AS maxx,
-       round(maxy, 6) AS maxy FROM mf WHERE geom_type = 'LineString'"""))
+       round(maxy, 6) AS maxy, CASE WHEN straight THEN 2 ELSE len(coords) END::BIGINT AS n_vertices,
+       CASE WHEN straight THEN 'highway' ELSE 'geometry,highway' END AS tag_names, 'primary' AS highway
+FROM (SELECT *, CAST('0x' || substr(md5(feature_id || 'g'), 1, 6) AS BIGINT) % 3 = 0 AS straight FROM mf
+      WHERE geom_type = 'LineString')"""))
 def q_graphml_scan(spark, sf):
     root = _dir(spark, "graphml")
     lines = inputs(spark, sf).map_features.where(F.col("geom_type") == "LineString")
     FS.write_graphml(lines, root)
     e = FS.read_graphml_edges(spark, f"{root}/b=*/*.txt")
     return e.select(F.regexp_extract("feature_id", r"^(.*)a-", 1).alias("edge"),
-                    *[F.round(c, 6).alias(c) for c in ("minx", "miny", "maxx", "maxy")])
+                    *[F.round(c, 6).alias(c) for c in ("minx", "miny", "maxx", "maxy")],
+                    F.size("coords").cast("bigint").alias("n_vertices"),
+                    F.array_join(F.array_sort(F.map_keys("tags")), ",").alias("tag_names"),
+                    F.element_at("tags", F.lit("highway")).alias("highway"))
 
 
 @register("binary_scan", """

@@ -312,7 +312,8 @@ def write_graphml(lines: DataFrame, path: str, n_files: int = 8, drop_geometry_e
     wkt = F.concat(F.lit("LINESTRING ("), F.array_join(F.transform(
         "coords", lambda p: F.format_string("%.7f %.7f", p["lon"], p["lat"])), ", "), F.lit(")"))
     e = lines.select(b, "feature_id", first.alias("p0"), last.alias("p1"), wkt.alias("wkt"),
-                     (F.abs(F.hash("feature_id", F.lit("g"))) % drop_geometry_every == 0).alias("nogeom"))
+                     (F.conv(F.substring(F.md5(F.concat("feature_id", F.lit("g"))), 1, 6), 16, 10).cast("int")
+                      % drop_geometry_every == 0).alias("nogeom"))
     node = lambda nid, p: F.format_string(
         '<node id="%s"><data key="x">%.7f</data><data key="y">%.7f</data></node>', nid, p["lon"], p["lat"])
     rows = e.select("b", F.lit(1).alias("sec"), "feature_id", F.posexplode(F.array(
