@@ -54,12 +54,12 @@ def test_defined_results_of_odd_rows(spark):
     df = odd(spark)
     near = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(df).collect()}
     assert {(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (None, 0, None)} <= near
-    # five word cycle: both long texts have (almost) the same five shingles
-    assert {c for d, _, c in near if d in (5, 6)} == {5} or {c for d, _, c in near if d == 6} == {6}
+    # a cycle of five words has five shingles; the word behind it adds one: 5 of 6 are common
+    assert {(d, n, c) for d, n, c in near if d in (5, 6)} == {(5, 5, 5), (6, 6, 5)}
     lang = {(r.doc_id, r.lang_pred) for r in langid.identify(df, F.lit(True)).collect()}
     assert {(1, "und"), (2, "und"), (3, "und"), (9, "und")} <= lang
     cut = {(r.doc_id, r.n_words, r.n_removed) for r in repeats.cut_repeats(df).collect()}
-    assert (5, 40000, 0) in cut and (6, 40001, 39999 + 1 - 0) in cut or (6, 40001, 40000) in cut
+    assert (5, 40000, 0) in cut and (6, 40001, 40000) in cut
     pieces = packing.pack(df, queries.tokenizer_path()).where("doc_id IN (1, 2, 3)").collect()
     assert [(p.piece, p.start, p.length) for p in pieces] == [(0, 0, 1)] * 3
     kept = quality.drop_low_quality(df, spark.createDataFrame([], "doc_id long, quality int"))

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from trackwise.llm import licenses, packing, pii, queries, secret_scan
@@ -141,7 +142,7 @@ def test_secrets_equal_plain_patterns(spark, documents):
             assert base == brute.secret_spans(texts[r.doc_id]), r.doc_id
             assert all((texts[r.doc_id] or "")[p.start:p.end].endswith(p.value) for p in r.secrets)
     tokens = [("wJalrXUtnFEMI7K3MDENGbPxRfiCY",), ("the_ordinary_identifier_of2words",)]
-    got = spark.createDataFrame(tokens, "t string").select(secret_scan.mean_ratio("t" and __import__("pyspark.sql.functions", fromlist=["col"]).col("t"), ratios)).collect()
+    got = spark.createDataFrame(tokens, "t string").select(secret_scan.mean_ratio(F.col("t"), ratios)).collect()
     assert got[0][0] > got[1][0]
 
 
