@@ -341,8 +341,11 @@ def _sketch_pairs(t: tuple[int, int]):
         word, at = rows["word"].to_numpy(), np.searchsorted(ids, rows["doc"].to_numpy())
         cut = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1], [True]])) if len(word) else np.zeros(0, dtype=int)
         found = [np.zeros((0, 2), dtype=np.int64)]
-        for a, z in zip(cut[:-1].tolist(), cut[1:].tolist()):
-            found += compare(*(c[at[a:z]] for c in (ids, comp, n, sketch)))
+        if len(ids) ** 2 < int((np.diff(cut) ** 2).sum()):
+            found += compare(ids, comp, n, sketch)  # each pair once is less work than once a word
+        else:
+            for a, z in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                found += compare(*(c[at[a:z]] for c in (ids, comp, n, sketch)))
         return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["hub", "doc"]).astype("int64")
     return run
 
