@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, text_batches
 from .wordhash import U, row_chunks
 
 ORDER = 4
@@ -190,7 +190,8 @@ def train(texts: DataFrame, text_col: str, lang_col: str, max_ngrams: int = MAX_
     counts = texts.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).mapInArrow(
         _count_rows, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts = materialize(counts, "grams")
+    with text_batches(texts.sparkSession):
+        counts = materialize(counts, "grams")
     least, size = 1, counts.count()
     while size > max_ngrams:  # the broadcast stays bounded
         least += 1
@@ -240,8 +241,10 @@ def identify(docs: DataFrame, learned: Column, id_col: str = "doc_id", text_col:
     if model is None:
         return base.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"),
                            F.lit(None).cast("double").alias("cross_entropy"), F.lit(False).alias("rejected"))
-    scored = materialize(base.mapInArrow(_score_rows(spark.sparkContext.broadcast(model)),
-                                         "doc_id long, lang_pred string, score double, cross_entropy double, learned string"), "languages")
+    with text_batches(spark):
+        scored = materialize(base.mapInArrow(
+            _score_rows(spark.sparkContext.broadcast(model)),
+            "doc_id long, lang_pred string, score double, cross_entropy double, learned string"), "languages")
     limits = scored.where("learned = lang_pred").groupBy("lang_pred").agg(
         F.percentile_approx("cross_entropy", REJECT_QUANTILE, 10_000).alias("limit"))
     return scored.join(limits, "lang_pred", "left").select(

@@ -30,7 +30,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, text_batches
 from .wordhash import Words, row_chunks, runs
 
 MAX_ROWS = 20_000
@@ -161,7 +161,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, learned: Column | None =
                    text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_ROWS) -> DataFrame:
     """doc_id, score of every row of ``docs``; ``learned``: condition on doc_id of
     the rows whose label may be learned from."""
-    stats = materialize(text_statistics(docs, id_col, text_col), "statistics")
+    with text_batches(docs.sparkSession):
+        stats = materialize(text_statistics(docs, id_col, text_col), "statistics")
     known = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     if learned is not None:
         known = known.where(learned)

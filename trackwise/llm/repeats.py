@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_partitions
+from .common import materialize, shuffle_partitions, text_batches
 from .wordhash import U, Words, row_chunks, run_starts, runs
 
 WINDOW = 50
@@ -238,6 +238,11 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_sha256,
     spans (removed word ranges, end exclusive) and, where words were removed,
     kept_text (kept words joined by one space)."""
+    with text_batches(docs.sparkSession):
+        return _cut_repeats(docs, id_col, text_col, window)
+
+
+def _cut_repeats(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
