@@ -29,81 +29,66 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_partitions
+from .common import materialize, shuffle_partitions, text_batches
 
 MAX_TOKENS = 4096
 END_ID = 1
 #: Words whose ids a task remembers, in each of two generations.
 CACHE_WORDS = 400_000
-#: Words tokenised together.
-BATCH_WORDS = 4096
 
 
-class WordTokens:
+class WordTokens(dict):
     """Ids of white-space separated words as little-endian uint32 bytes.
 
     For byte-level BPE tokenizers that lower-case, drop white space and split
-    letters from punctuation. A word of Latin letters, perhaps with ASCII
-    punctuation behind it, goes straight to the BPE model (normalising and splitting
-    would leave its letters as they are); other words go through the whole
-    tokenizer, several at a time with an added token between them. Two
-    generations of remembered words bound the memory.
+    letters from punctuation. A word of Latin letters goes straight to the BPE
+    model (normalising and splitting would leave its lower-case letters as they
+    are); with capitals or ASCII punctuation behind it, its ids are those of the
+    lower-case letters and of the punctuation. Other words go through the whole
+    tokenizer. Two generations of remembered words bound the memory.
     """
 
     PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
 
-    def __init__(self, path: str, separator: str = "<|endoftext|>"):
+    def __init__(self, path: str):
+        super().__init__()
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
-        self.separator, self.separator_id = separator, self.model.token_to_id(separator)
+        self.tokenize = self.model.model.tokenize
         # printable bytes stand for themselves, the others for code points from 256 on
         kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in kept]
         self.byte_chars = {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(rest)}
-        self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
-        others = []
-        tokenize, table = self.model.model.tokenize, self.byte_chars
-        for w in words:
-            m = self.PLAIN.fullmatch(w)
+    def _model_ids(self, word: str) -> bytes:
+        """Ids of lower-case letters or of punctuation, as the BPE model gives them."""
+        if not word.isascii():
+            word = "".join(map(self.byte_chars.__getitem__, word.encode()))
+        ids = [x.id for x in self.tokenize(word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            m = self.PLAIN.fullmatch(word)
             if not m:
-                others.append(w)
-                continue
-            letters = m[1].lower()
-            if not letters.isascii():
-                letters = "".join(map(table.__getitem__, letters.encode()))
-            ids = [x.id for x in tokenize(letters)]
-            if m[2]:
-                ids += [x.id for x in tokenize(m[2])]
-            self.new[w] = struct.pack(f"<{len(ids)}I", *ids)
-        plain = [w for w in others if self.separator not in w]
-        for i in range(0, len(plain), BATCH_WORDS):
-            part = plain[i:i + BATCH_WORDS]
-            ids = np.array(self.model.encode(self.separator.join(part), add_special_tokens=False).ids, dtype="<u4")
-            cut = np.concatenate([[-1], np.flatnonzero(ids == self.separator_id), [len(ids)]]).tolist()
-            for w, a, z in zip(part, cut[:-1], cut[1:]):
-                self.new[w] = ids[a + 1:z].tobytes()
-        for w in others:
-            if self.separator in w:
-                self.new[w] = np.array(self.model.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
+                if word and not word.isalnum() and all("!" <= c <= "~" and not c.isalnum() for c in word):
+                    ids = self._model_ids(word)  # punctuation alone
+                else:
+                    ids = np.array(self.model.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            elif (letters := m[1].lower()) == word:
+                ids = self._model_ids(word)
+            else:
+                ids = self[letters] + self[m[2]] if m[2] else self[letters]
+        self[word] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        new = self.new
-        unseen = []
-        for w in set().union(*split):
-            if w not in new:
-                ids = self.old.get(w)
-                if ids is None:
-                    unseen.append(w)
-                else:
-                    new[w] = ids
-        self._learn(unseen)
-        out = [b"".join(map(new.__getitem__, ws)) for ws in split]
-        if len(new) > CACHE_WORDS:
-            self.old, self.new = new, {}
+        out = [b"".join(map(self.__getitem__, t.split())) for t in texts]
+        if len(self) > CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
         return out
 
 
@@ -187,9 +172,10 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
          max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
-    pieces = materialize(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(
-        _piece_rows(tokenizer_path, max_tokens, end_id),
-        "doc_id long, piece int, start long, length long, ids_crc32 long"), "pieces")
+    with text_batches(spark):
+        pieces = materialize(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(
+            _piece_rows(tokenizer_path, max_tokens, end_id),
+            "doc_id long, piece int, start long, length long, ids_crc32 long"), "pieces")
     salts = 4 * shuffle_partitions(spark)
     salt = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts))
     # at most max_tokens rows reach the driver
