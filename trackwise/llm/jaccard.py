@@ -354,8 +354,10 @@ def _far_pairs(named: DataFrame, sets: DataFrame, t: tuple[int, int]) -> DataFra
     """Pairs of different components that share a word and whose sketches allow a
     link. Words go where other words of their hub go, about GROUP_ROWS rows
     together, so a document's sketch is sent once a group, not once a word."""
-    groups = named.groupBy("hub").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("groups"))
-    rows = named.join(groups, "hub").select("hub", F.pmod(F.xxhash64("word"), F.col("groups")).alias("part"), "word", "doc", "component")
+    # only hubs of several groups need their number: a short table, whatever the hub's size
+    groups = materialize(named.groupBy("hub").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("groups")).where("groups > 1"), "large_hubs")
+    part = F.pmod(F.xxhash64("word"), F.coalesce("groups", F.lit(1))).alias("part")
+    rows = named.join(groups, "hub", "left").select("hub", part, "word", "doc", "component")
     sketches = rows.select("hub", "part", "doc", "component").distinct().join(
         sets.select("doc", "sketch", (F.length("hashes") / 8).cast("long").alias("n")).hint("merge"), "doc").select(
         "hub", "part", F.lit(None).cast("long").alias("word"), "doc", "component", "n", "sketch")
