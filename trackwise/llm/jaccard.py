@@ -133,17 +133,21 @@ def _unpack_ids(raw: bytes, n: int) -> np.ndarray:
     return (far.astype(U) + np.frombuffer(raw, dtype=U, count=1)).view(np.int64)
 
 
+def set_sums(h: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """Two 64-bit sums that identify each set, as two rows."""
+    f = np.zeros((2, len(h) + 1), dtype=U)
+    np.cumsum(mix(h), out=f[0, 1:])
+    np.cumsum(mix(h ^ _ALONE), out=f[1, 1:])
+    return f[:, edge[1:]] - f[:, edge[:-1]]
+
+
 def _set_rows(k: int, t: tuple[int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, hi, data, offs in row_chunks(b.column(1)):
                 h, edge = shingle_sets(Words(data, offs, True), k)
                 n = np.diff(edge)
-                # two 64-bit sums identify a set
-                f = np.zeros((2, len(h) + 1), dtype=U)
-                np.cumsum(mix(h), out=f[0, 1:])
-                np.cumsum(mix(h ^ _ALONE), out=f[1, 1:])
-                f = (f[:, edge[1:]] - f[:, edge[:-1]]).view(np.int64)
+                f = set_sums(h, edge).view(np.int64)
                 least = part_words(h, edge, t)[3]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(f[0]), pa.array(f[1]),
@@ -180,7 +184,7 @@ def _word_rows(k: int, t: tuple[int, int], buckets: int):
                 rows["words"].append(low[a:z].tobytes())
                 rows["who"].append((local * 4 + (who[a:z] & 3)).astype(np.uint32 if len(own) > 16383 else np.uint16).tobytes())
                 rows["docs"].append(_pack_ids(doc[own, 0]))
-                rows["sets"].append(doc[own, 1].astype(np.uint32).tobytes())
+                rows["sets"].append(doc[own, 1:].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows["bucket"], pa.int32())] + [pa.array(rows[c], pa.binary()) for c in ("words", "who", "docs", "sets")],
                 names=list(rows))
@@ -192,10 +196,8 @@ def _word_rows(k: int, t: tuple[int, int], buckets: int):
                 id_ = b.column(0).slice(lo, hi - lo)
                 known = ~np.asarray(id_.is_null())[who]
                 held.append((w[known], ((who + docs) * 4 + space)[known]))
-                f = np.zeros(len(h) + 1, dtype=U)
-                np.cumsum(mix(h), out=f[1:])
-                ids.append(np.stack([id_.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64),
-                                     ((f[edge[1:]] - f[edge[:-1]]) >> U(32)).astype(np.int64)], axis=1))
+                ids.append(np.column_stack([id_.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64),
+                                            set_sums(h, edge).view(np.int64).T]))
                 docs += hi - lo
                 count += len(w)
                 if count >= FLUSH_WORDS:
@@ -213,25 +215,24 @@ def _shared_words(pdf: pd.DataFrame) -> pd.DataFrame:
         who = np.frombuffer(who, dtype=np.uint16 if len(who) == 2 * len(words[-1]) else np.uint32)
         tags.append((who & 3).astype(np.uint8))
         places.append(who >> 2)
-    sizes = [len(s) // 4 for s in pdf["sets"]]
+    sizes = [len(s) // 16 for s in pdf["sets"]]
     docs = np.concatenate([_unpack_ids(d, n) for d, n in zip(pdf["docs"], sizes)])
-    sets = np.frombuffer(b"".join(pdf["sets"]), dtype=np.uint32)
+    f1, f2 = np.frombuffer(b"".join(pdf["sets"]), dtype=np.int64).reshape(-1, 2).T
+    # number the sets; each has the smallest doc_id of its copies, which hold the same words
+    order = np.lexsort((docs, f2, f1))
+    new = np.ones(len(docs), dtype=bool)
+    new[1:] = (f1[order[1:]] != f1[order[:-1]]) | (f2[order[1:]] != f2[order[:-1]])
+    number = np.zeros(len(docs), dtype=U)
+    number[order] = np.cumsum(new) - 1
+    docs = docs[order[new]]
     place = np.concatenate([p.astype(np.int64) + base for p, base in zip(places, np.cumsum([0] + sizes))])
     w, tag = np.concatenate(words), np.concatenate(tags)
-    order = np.argsort(w, kind="stable")
-    sw = w[order]
-    same = sw[1:] == sw[:-1]
-    twice = np.zeros(len(w), dtype=bool)
-    twice[1:] = same
-    twice[:-1] |= same
-    at = order[twice]
-    w, tag, place = w[at], tag[at], place[at]
-    doc, f = docs[place], sets[place]
-    order = np.lexsort((doc, f, w))
-    w, tag, doc, f = w[order], tag[order], doc[order], f[order]
-    first = np.ones(len(w), dtype=bool)
-    first[1:] = (w[1:] != w[:-1]) | (f[1:] != f[:-1])
-    w, tag, doc = w[first], tag[first], doc[first]
+    key = (w.astype(U) << U(32)) | number[place]
+    order = np.argsort(key, kind="stable")
+    key, tag = key[order], tag[order]
+    first = np.ones(len(key), dtype=bool)
+    first[1:] = key[1:] != key[:-1]
+    w, tag, doc = (key[first] >> U(32)), tag[first], docs[(key[first] & U(0xFFFFFFFF)).astype(np.int64)]
     at = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]])[:len(w)])
     size = np.diff(np.append(at, len(w)))
     many = np.repeat(size > 1, size)
