@@ -1,5 +1,7 @@
 """Rows and links that shortcuts would lose."""
 
+import random
+
 import numpy as np
 import pyarrow as pa
 
@@ -16,3 +18,41 @@ def test_sets_with_equal_half_sums_stay_apart(spark):
     assert f[0, 0] >> U(32) == f[0, 1] >> U(32) and f[0, 0] != f[0, 1]
     got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.near_duplicates(rows) == {1: (37, 1), 2: (37, 1)}
+
+
+def test_large_words_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 20)
+    rng = random.Random(7)
+    # one family of 300 rows, 90 rows in small components, a stray: all hold word 1; word 2 is small
+    docs = [(d, 0 if d < 300 else 1000 + d % 40 if d < 390 else d) for d in range(391)]
+    named = spark.createDataFrame([(1, d, 0, c) for d, c in docs] + [(2, d, 0, c) for d, c in docs[295:305]],
+                                  "word long, doc long, hub long, component long")
+    dealt, pairs = jaccard.deal_blocks(named, spark.createDataFrame([(1, 391)], "word long, size long"))
+    held = {b: set() for b in {r.block for r in dealt.collect()}}
+    for r in dealt.collect():
+        held[r.block].add((r.doc, r.component))
+    assert sum(map(len, held.values())) == 391 and max(map(len, held.values())) < 100
+    met = set()
+    for r in pairs.collect():
+        assert not (r.low.alone and r.high.alone and r.low.owner == r.high.owner)  # no two blocks of one component
+        met |= {(min(x, y), max(x, y)) for x, c in held[r.low] for y, e in held[r.high] if c != e}
+    assert met == {(x, y) for x, c in docs for y, e in docs if x < y and c != e}
+    # equal sketches: every pair across components that shares a word is a candidate
+    sets = spark.createDataFrame([(d, bytearray(8 * rng.choice([10, 11])), bytearray(8 * 16)) for d, _ in docs], "doc long, hashes binary, sketch binary")
+    got = {(r.hub, r.doc) for r in jaccard._far_pairs(named, sets, jaccard.THRESHOLD).distinct().collect()}
+    assert got == met
+
+
+def test_large_family_with_strays_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", 10)
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    base = [word() for _ in range(60)]
+    rows = []
+    for d in range(240):
+        text = list(base)
+        for _ in range(rng.choice([0, 1, 1, 2, 3, 4])):  # near the threshold: several components share words
+            text[rng.randrange(60)] = word()
+        rows.append((d, " ".join(text)))
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.near_duplicates(rows)

@@ -53,6 +53,8 @@ HUB_BLOCK = 256
 FILTER_BITS = 1 << 23
 #: Rows (word, document) of a group whose sketches are compared.
 GROUP_ROWS = 20_000
+#: Documents of a word beyond which they are dealt to blocks, and about those of a block.
+BLOCK_ROWS = 5_000
 #: 64-bit sketch words compared at a time.
 SKETCH_CELLS = 2_000_000
 _ALONE = U(0x5851F42D4C957F2D)
@@ -299,40 +301,58 @@ def verified(pairs: DataFrame, sets: DataFrame, t: tuple[int, int] = THRESHOLD)
     return members.unionByName(hubs).groupBy("hub", "block").applyInPandas(_check_block(t), "src long, dst long")
 
 
-def _sketch_pairs(t: tuple[int, int]):
+def _fold(sk: np.ndarray, width: int) -> np.ndarray:
+    while sk.shape[1] > width:
+        half = sk.shape[1] // 2
+        sk = sk[:, :half] ^ sk[:, half:]
+    return sk
+
+
+def _by_width(doc: np.ndarray, comp: np.ndarray, n: np.ndarray, sketch: np.ndarray) -> list[tuple]:
+    """The documents of each sketch width, those of a component side by side."""
+    width = np.array([len(x) // 8 for x in sketch])
+    out = []
+    for w in np.unique(width).tolist():
+        at = np.flatnonzero(width == w)
+        at = at[np.argsort(comp[at], kind="stable")]
+        out.append((w, doc[at], comp[at], n[at], np.frombuffer(b"".join(sketch[at]), dtype=U).reshape(len(at), w)))
+    return out
+
+
+def _compare(left: list[tuple], right: list[tuple] | None, t: tuple[int, int]) -> list[np.ndarray]:
+    """Pairs of ``left`` and ``right`` (None: within ``left``) of different components
+    whose sketches allow a link. Tiles of one component are skipped."""
     step = 512
+    found = []
+    for i, (w1, d1, c1, n1, s1) in enumerate(left):
+        for j, (w2, d2, c2, n2, s2) in enumerate(left if right is None else right):
+            if right is None and j < i:
+                continue
+            w = min(w1, w2)
+            f1, f2 = _fold(s1, w), _fold(s2, w)
+            for a in range(0, len(d1), step):
+                for b in range(a if right is None and i == j else 0, len(d2), step):
+                    x, y = slice(a, a + step), slice(b, b + step)
+                    if c1[x][0] == c1[x][-1] == c2[y][0] == c2[y][-1]:
+                        continue
+                    low, high = np.minimum(n1[x, None], n2[None, y]), np.maximum(n1[x, None], n2[None, y])
+                    p, q = np.nonzero((c1[x, None] != c2[None, y]) & (t[1] * low >= t[0] * high))
+                    p, q = p + a, q + b
+                    ok = np.zeros(len(p), dtype=bool)
+                    cells = max(1, SKETCH_CELLS // w)
+                    for z in range(0, len(p), cells):
+                        far = np.bitwise_count(f1[p[z:z + cells]] ^ f2[q[z:z + cells]]).sum(axis=1, dtype=np.int64)
+                        ok[z:z + cells] = far <= _diff_bound(n1[p[z:z + cells]] + n2[q[z:z + cells]], t)
+                    p, q = d1[p[ok]], d2[q[ok]]
+                    found.append(np.stack([np.minimum(p, q), np.maximum(p, q)], axis=1))
+    return found
+
+
+def _pair_rows(found: list[np.ndarray]) -> pd.DataFrame:
+    return pd.DataFrame(np.unique(np.concatenate([np.zeros((0, 2), dtype=np.int64), *found]), axis=0), columns=["hub", "doc"]).astype("int64")
 
-    def fold(sk: np.ndarray, width: int) -> np.ndarray:
-        while sk.shape[1] > width:
-            half = sk.shape[1] // 2
-            sk = sk[:, :half] ^ sk[:, half:]
-        return sk
-
-    def compare(doc: np.ndarray, comp: np.ndarray, n: np.ndarray, sketch: np.ndarray) -> list[np.ndarray]:
-        width = np.array([len(x) // 8 for x in sketch])
-        data = []
-        for w in np.unique(width).tolist():
-            at = np.flatnonzero(width == w)
-            data.append((w, doc[at], comp[at], n[at], np.frombuffer(b"".join(sketch[at]), dtype=U).reshape(len(at), w)))
-        found = []
-        for i, (w, d1, c1, n1, s1) in enumerate(data):
-            for _, d2, c2, n2, s2 in data[i:]:
-                s2 = fold(s2, w)
-                for a in range(0, len(d1), step):
-                    for b in range(0, len(d2), step):
-                        x, y = slice(a, a + step), slice(b, b + step)
-                        low, high = np.minimum(n1[x, None], n2[None, y]), np.maximum(n1[x, None], n2[None, y])
-                        p, q = np.nonzero((c1[x, None] != c2[None, y]) & (t[1] * low >= t[0] * high))
-                        p, q = p + a, q + b
-                        ok = np.zeros(len(p), dtype=bool)
-                        cells = max(1, SKETCH_CELLS // w)
-                        for z in range(0, len(p), cells):
-                            far = np.bitwise_count(s1[p[z:z + cells]] ^ s2[q[z:z + cells]]).sum(axis=1, dtype=np.int64)
-                            ok[z:z + cells] = far <= _diff_bound(n1[p[z:z + cells]] + n2[q[z:z + cells]], t)
-                        p, q = d1[p[ok]], d2[q[ok]]
-                        found.append(np.stack([np.minimum(p, q), np.maximum(p, q)], axis=1))
-        return found
 
+def _sketch_pairs(t: tuple[int, int]):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         own = pdf["sketch"].notna().to_numpy()
         docs = pdf[own].drop_duplicates("doc").sort_values("doc")
@@ -341,29 +361,68 @@ def _sketch_pairs(t: tuple[int, int]):
         rows = pdf[~own].sort_values("word")
         word, at = rows["word"].to_numpy(), np.searchsorted(ids, rows["doc"].to_numpy())
         cut = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1], [True]])) if len(word) else np.zeros(0, dtype=int)
-        found = [np.zeros((0, 2), dtype=np.int64)]
+        found = []
         if len(ids) ** 2 < int((np.diff(cut) ** 2).sum()):
-            found += compare(ids, comp, n, sketch)  # each pair once is less work than once a word
+            found += _compare(_by_width(ids, comp, n, sketch), None, t)  # each pair once is less work than once a word
         else:
             for a, z in zip(cut[:-1].tolist(), cut[1:].tolist()):
-                found += compare(*(c[at[a:z]] for c in (ids, comp, n, sketch)))
-        return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["hub", "doc"]).astype("int64")
+                found += _compare(_by_width(*(c[at[a:z]] for c in (ids, comp, n, sketch))), None, t)
+        return _pair_rows(found)
     return run
 
 
+def _block_pairs(t: tuple[int, int]):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        sides = [_by_width(*(part[c].to_numpy() for c in ("doc", "component", "n", "sketch")))
+                 for _, part in pdf.groupby("side")]
+        return _pair_rows(_compare(sides[0], sides[1] if len(sides) > 1 else None, t))
+    return run
+
+
+def deal_blocks(rows: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``words`` (word, size) dealt to blocks of about BLOCK_ROWS (column
+    ``block``), and the pairs of blocks to compare (word, low, high). A component of
+    more rows has blocks of its own, smaller ones share blocks; blocks that hold one
+    component only are not compared within or with each other."""
+    rows = rows.join(words, "word")
+    # at most rows / BLOCK_ROWS rows
+    large = materialize(rows.groupBy("word", "component").agg(F.count("*").alias("members")).where(
+        F.col("members") > BLOCK_ROWS), "large_components")
+    alone = F.col("members").isNotNull()
+    dealt = rows.join(large, ["word", "component"], "left").select("word", "doc", "component", F.struct(
+        F.when(alone, F.col("component")).alias("owner"),
+        F.when(alone, F.pmod(F.xxhash64("doc"), F.ceil(F.col("members") / BLOCK_ROWS))).otherwise(
+            F.pmod(F.xxhash64("component"), F.ceil(F.col("size") / BLOCK_ROWS))).alias("number"),
+        alone.alias("alone")).alias("block"))
+    blocks = materialize(dealt.select("word", "block").distinct(), "blocks")
+    pairs = blocks.withColumnRenamed("block", "low").join(blocks.withColumnRenamed("block", "high"), "word").where(
+        "low <= high AND NOT (low.alone AND high.alone AND low.owner = high.owner)")
+    return dealt, pairs
+
+
 def _far_pairs(named: DataFrame, sets: DataFrame, t: tuple[int, int]) -> DataFrame:
     """Pairs of different components that share a word and whose sketches allow a
     link. Words go where other words of their hub go, about GROUP_ROWS rows
-    together, so a document's sketch is sent once a group, not once a word."""
+    together, so a document's sketch is sent once a group, not once a word. The
+    documents of a word of more than BLOCK_ROWS are dealt to blocks, and each pair
+    of blocks that holds several components is a group."""
+    sketched = sets.select("doc", "sketch", (F.length("hashes") / 8).cast("long").alias("n")).hint("merge")
+    # at most rows / BLOCK_ROWS words
+    large = materialize(named.groupBy("word").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK_ROWS), "large_words")
+    dealt, pairs = deal_blocks(named, large)
+    sides = pairs.withColumn("side", F.explode(F.expr("CASE WHEN low = high THEN array(0) ELSE array(0, 1) END"))).withColumn(
+        "block", F.when(F.col("side") == 0, F.col("low")).otherwise(F.col("high")))
+    apart = dealt.join(sides, ["word", "block"]).select("word", "low", "high", "side", "doc", "component").join(
+        sketched, "doc").groupBy("word", "low", "high").applyInPandas(_block_pairs(t), "hub long, doc long")
+    named = named.join(large, "word", "left_anti")
     # only hubs of several groups need their number: a short table, whatever the hub's size
     groups = materialize(named.groupBy("hub").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("groups")).where("groups > 1"), "large_hubs")
     part = F.pmod(F.xxhash64("word"), F.coalesce("groups", F.lit(1))).alias("part")
     rows = named.join(groups, "hub", "left").select("hub", part, "word", "doc", "component")
-    sketches = rows.select("hub", "part", "doc", "component").distinct().join(
-        sets.select("doc", "sketch", (F.length("hashes") / 8).cast("long").alias("n")).hint("merge"), "doc").select(
+    sketches = rows.select("hub", "part", "doc", "component").distinct().join(sketched, "doc").select(
         "hub", "part", F.lit(None).cast("long").alias("word"), "doc", "component", "n", "sketch")
     rows = rows.withColumn("n", F.lit(None).cast("long")).withColumn("sketch", F.lit(None).cast("binary"))
-    return rows.unionByName(sketches).groupBy("hub", "part").applyInPandas(_sketch_pairs(t), "hub long, doc long")
+    return rows.unionByName(sketches).groupBy("hub", "part").applyInPandas(_sketch_pairs(t), "hub long, doc long").unionByName(apart)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE_WORDS,
