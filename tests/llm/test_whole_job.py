@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 
 from tests.llm import brute
@@ -56,3 +57,21 @@ def test_large_family_with_strays_in_blocks(spark, monkeypatch):
         rows.append((d, " ".join(text)))
     got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.near_duplicates(rows)
+
+
+def test_rows_without_id_are_kept(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text), (2, text), (2, "another text of the repeated id"), (3, "alone"), (None, text), (None, None), (None, "no id here")]
+    got = jaccard.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted(
+        (d or 0, t or "") for d, t in rows if d != 2)
+
+
+def test_all_texts_of_a_repeated_id_are_compared():
+    bits = lambda x: np.full(16, x, dtype=U).tobytes()
+    far, near = bits(0xFFFFFFFFFFFFFFFF), bits(0)
+    sketches = [(1, 1, near), (2, 2, far), (2, 2, near), (2, 2, far)]
+    rows = [{"word": 5.0, "doc": d, "component": c, "n": None, "sketch": None} for d, c in ((1, 1), (2, 2), (2, 2))]
+    rows += [{"word": None, "doc": d, "component": c, "n": 100, "sketch": s} for d, c, s in sketches]
+    got = jaccard._sketch_pairs(jaccard.THRESHOLD)(pd.DataFrame(rows))
+    assert got.values.tolist() == [[1, 2]]

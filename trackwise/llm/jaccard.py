@@ -355,11 +355,13 @@ def _pair_rows(found: list[np.ndarray]) -> pd.DataFrame:
 def _sketch_pairs(t: tuple[int, int]):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         own = pdf["sketch"].notna().to_numpy()
-        docs = pdf[own].drop_duplicates("doc").sort_values("doc")
+        docs = pdf[own].drop_duplicates(["doc", "n", "sketch"]).sort_values("doc")  # a repeated id may have several sets
         ids = docs["doc"].to_numpy()
         comp, n, sketch = (docs[c].to_numpy() for c in ("component", "n", "sketch"))
-        rows = pdf[~own].sort_values("word")
-        word, at = rows["word"].to_numpy(), np.searchsorted(ids, rows["doc"].to_numpy())
+        rows = pdf[~own].drop_duplicates(["word", "doc"]).sort_values("word")
+        low, high = (np.searchsorted(ids, rows["doc"].to_numpy(), side) for side in ("left", "right"))
+        word = np.repeat(rows["word"].to_numpy(), high - low)
+        at = np.repeat(high - np.cumsum(high - low), high - low) + np.arange(len(word))
         cut = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1], [True]])) if len(word) else np.zeros(0, dtype=int)
         found = []
         if len(ids) ** 2 < int((np.diff(cut) ** 2).sum()):
@@ -373,6 +375,7 @@ def _sketch_pairs(t: tuple[int, int]):
 
 def _block_pairs(t: tuple[int, int]):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates(["side", "doc", "n", "sketch"])
         sides = [_by_width(*(part[c].to_numpy() for c in ("doc", "component", "n", "sketch")))
                  for _, part in pdf.groupby("side")]
         return _pair_rows(_compare(sides[0], sides[1] if len(sides) > 1 else None, t))
@@ -476,7 +479,8 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, k: int, t: tup
         # words met by the same documents are one group
         mixed = named.groupBy("word").agg(
             F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"),
-            F.bit_xor(F.xxhash64("doc")).alias("members")).where("lo <> hi")
+            # sums of the halves: with bit_xor, rows that repeat an id would cancel out
+            F.struct(F.sum(F.shiftright(F.xxhash64("doc"), 32)), F.sum(F.xxhash64("doc").bitwiseAND(0xFFFFFFFF))).alias("members")).where("lo <> hi")
         mixed = mixed.groupBy("members", "size").agg(F.min("word").alias("word")).select("word")
         named = materialize(named.join(mixed, "word"), "mixed")
         if stars:
@@ -495,7 +499,8 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, k: int, t: tup
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` that are the smallest doc_id of their group (all columns kept)."""
-    kept = near_duplicates(docs, id_col, text_col).where("doc_id = component_id").select(
-        F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col(id_col).cast("long") == F.col("__kept"), "left_semi")
+    """Rows of ``docs`` that are the smallest doc_id of their group, and those with a
+    null doc_id (all columns kept)."""
+    dropped = near_duplicates(docs, id_col, text_col).where("doc_id <> component_id").select(
+        F.col("doc_id").alias("__dropped")).distinct()
+    return docs.join(dropped, F.col(id_col).cast("long") == F.col("__dropped"), "left_anti")
