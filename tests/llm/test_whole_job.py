@@ -5,9 +5,10 @@ import random
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tests.llm import brute
-from trackwise.llm import jaccard
+from trackwise.llm import jaccard, langid
 from trackwise.llm.wordhash import U, Words, row_chunks, shingle_sets
 
 
@@ -75,3 +76,13 @@ def test_all_texts_of_a_repeated_id_are_compared():
     rows += [{"word": None, "doc": d, "component": c, "n": 100, "sketch": s} for d, c, s in sketches]
     got = jaccard._sketch_pairs(jaccard.THRESHOLD)(pd.DataFrame(rows))
     assert got.values.tolist() == [[1, 2]]
+
+
+def test_language_models_in_slices_equal_the_whole(spark):
+    rows = [(d, f"{a} the quick brown fox jumps over {d}", "en") for d, a in enumerate("alpha beta gamma delta".split() * 5)]
+    rows += [(100 + d, f"{a} der schnelle braune fuchs", "de") for d, a in enumerate("eins zwei drei".split() * 5)]
+    rows += [(200, "qo zu rare", "xx"), (None, None, "en"), (201, "", None), (202, "unseen żółw text", None), (100, "brown fox", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    whole, parts = (sorted((r.doc_id or -1, r.lang_pred, round(r.score, 5), round(r.cross_entropy or 0, 5), r.rejected)
+                           for r in langid.identify(df, F.lit(True), max_ngrams=m).collect()) for m in (langid.MAX_NGRAMS, 60))
+    assert whole == parts and (200, "xx") in {r[:2] for r in parts}
