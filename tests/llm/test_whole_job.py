@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from trackwise.llm import jaccard, langid
+from trackwise.llm import jaccard, langid, secret_scan
 from trackwise.llm.wordhash import U, Words, row_chunks, shingle_sets
 
 
@@ -86,3 +86,11 @@ def test_language_models_in_slices_equal_the_whole(spark):
     whole, parts = (sorted((r.doc_id or -1, r.lang_pred, round(r.score, 5), round(r.cross_entropy or 0, 5), r.rejected)
                            for r in langid.identify(df, F.lit(True), max_ngrams=m).collect()) for m in (langid.MAX_NGRAMS, 60))
     assert whole == parts and (200, "xx") in {r[:2] for r in parts}
+
+
+def test_ordinary_words_of_all_documents_are_learned(spark):
+    state = lambda c: secret_scan.ALPHABET.index(c) + 1
+    hit = "token=" + "x7" * 10
+    ratio = lambda texts: secret_scan.train(spark.createDataFrame([(t,) for t in texts], "text string"))[state("q") * secret_scan._STATES + state("u")]
+    one, more = ratio([hit, "quick"]), ratio([hit, "quick quick quick"])
+    assert ratio([hit]) > one > more  # words of texts without a match count, and each time they occur

@@ -6,8 +6,8 @@ characters or more), access (key ids), hex (16 or more). The method adds kind
 better than one of ordinary identifiers.
 
 Both models are first-order over 64 characters, trained by counting: random
-strings are the values of the base matches, ordinary ones the words of the same
-texts outside the matches (labelled by the base rules). Counts are add-one
+strings are the values of the base matches, ordinary ones the words of all
+texts outside the matches (labelled by the base rules), each as often as it occurs. Counts are add-one
 smoothed; the table of log-likelihood ratios has a fixed size (characters
 squared) and enters the plan as one constant array. A token's score is its mean
 ratio a character, put on 0 to 1.
@@ -78,13 +78,12 @@ def _as_span(rank: int, kind: str):
 
 def train(docs: DataFrame, text_col: str = "text") -> list[float]:
     """Log-likelihood ratios (random over ordinary) of each pair of states, from
-    every text with a base match. The result has ``_STATES`` squared entries."""
+    every text. The result has ``_STATES`` squared entries."""
     df = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
-    df = df.where(" OR ".join(f"t RLIKE '{gate}'" for _, _, gate, _, _ in BASE))
     df, columns = _base_spans(df, "t", "b_")
-    df = df.select("t", F.transform(F.concat(*columns), lambda s: s["value"]).alias("hits")).where(F.size("hits") > 0)
+    df = df.select("t", F.transform(F.concat(*columns), lambda s: s["value"]).alias("hits"))
     random = df.select(F.explode("hits").alias("token"), F.lit(1).alias("random"))
-    words = df.select(F.explode(F.array_except(F.regexp_extract_all("t", F.lit("[A-Za-z0-9_]{4,40}+"), F.lit(0)), "hits")).alias("token"),
+    words = df.select(F.explode(F.regexp_extract_all("t", F.lit("[A-Za-z0-9_]{4,40}+"), F.lit(0))).alias("token"),
                       "hits").where("NOT exists(hits, h -> contains(h, token))").select("token", F.lit(0).alias("random"))
     tokens = random.unionByName(words).groupBy("random", "token").agg(F.count("*").alias("n"))
     counts = tokens.select("random", "n", F.explode(_pairs(F.col("token"))).alias("pair")).groupBy("random", "pair").agg(
