@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.llm import brute
-from trackwise.llm import jaccard, langid, secret_scan
+from trackwise.llm import jaccard, langid, packing, queries, secret_scan
 from trackwise.llm.wordhash import U, Words, row_chunks, shingle_sets
 
 
@@ -94,3 +94,12 @@ def test_ordinary_words_of_all_documents_are_learned(spark):
     ratio = lambda texts: secret_scan.train(spark.createDataFrame([(t,) for t in texts], "text string"))[state("q") * secret_scan._STATES + state("u")]
     one, more = ratio([hit, "quick"]), ratio([hit, "quick quick quick"])
     assert ratio([hit]) > one > more  # words of texts without a match count, and each time they occur
+
+
+def test_separator_controls_are_tokens():
+    from tokenizers import Tokenizer
+    model = Tokenizer.from_file(queries.tokenizer_path())
+    texts = ["ab\x1ccd \x1d x\x1e\x1fy", "a\x1c\x85b\xa0c\u1680d\u2003e\u2028f\u202fg\u205fh\u3000i\tj\x0bk\x0cl", "plain words"]
+    got = [np.frombuffer(b, dtype="<u4").tolist() for b in packing.WordTokens(queries.tokenizer_path()).encode(texts)]
+    assert got == [model.encode(t, add_special_tokens=False).ids for t in texts]
+    assert got[0] != [i for w in texts[0].split() for i in model.encode(w, add_special_tokens=False).ids]

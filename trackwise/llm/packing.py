@@ -50,6 +50,8 @@ class WordTokens(dict):
 
     PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
 
+    NOT_WHITE = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+
     def __init__(self, path: str):
         super().__init__()
         from tokenizers import Tokenizer
@@ -84,8 +86,12 @@ class WordTokens(dict):
         self[word] = ids
         return ids
 
+    def _words(self, text: str) -> list[str]:
+        """Split at the tokenizer's white space, which does not hold U+001C to U+001F as ``str.split`` does."""
+        return self.NOT_WHITE.findall(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        out = [b"".join(map(self.__getitem__, t.split())) for t in texts]
+        out = [b"".join(map(self.__getitem__, self._words(t))) for t in texts]
         if len(self) > CACHE_WORDS:
             self.old = dict(self)
             self.clear()
