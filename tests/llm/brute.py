@@ -138,3 +138,37 @@ def digest(spans):
 
 def crc_part(doc_id, n):
     return zlib.crc32(str(doc_id).encode()) % n
+
+
+def planted_words(doc_id, text):
+    """Words of a document with the repeating words that the contract plants."""
+    w = SPACE_WORD.findall(text or "")
+    if doc_id is None or not w:
+        return w
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return w
+    g, n = h // 10, len(w)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+def periodic_runs(w):
+    """Sorted (start, length, period), by every lag over all words."""
+    out = {}
+    for q in range(1, len(w) // 3 + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j > i and j - i + q >= max(24, 3 * q):
+                out.setdefault((i, j - i + q), q)  # the smallest period of a stretch comes first
+            i = j + 1
+    return sorted((s, n, q) for (s, n), q in out.items())
+
+
+def collapsed(w, runs):
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, pii, secret_scan
+from . import licenses, periodic, pii, secret_scan
 from .common import read_table
 from .decontam import contained_items
 from .jaccard import near_duplicates
@@ -119,6 +119,19 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         licenses.license_score(base, marks).alias("score"))
 
 
+@register
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs and digests of every document, with repeating words planted in one of ten."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text", periodic.planted_runs(F.col("text"), F.crc32(F.col("doc_id").cast("string"))))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = periodic.periodic_runs(docs).withColumn("best", periodic.strongest_run(F.col("runs")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
