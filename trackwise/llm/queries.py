@@ -17,8 +17,10 @@ from .oracle import ORACLE
 from .packing import pack
 from .quality import quality_scores
 from .repeats import cut_repeats
+from .sharding import shard_by_bytes
 from .spans import span_text
 from .vecdedup import near_vectors
+from .whitening import whiten
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -132,6 +134,20 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed_text", 256).alias("collapsed_sha256"))
 
 
+@register
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document, equal texts together, shards balanced by bytes."""
+    placed = shard_by_bytes(read_table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First four whitened components of every finite vector."""
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
     return public_tokenizers.path("word_bpe_49k.json")
