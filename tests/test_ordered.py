@@ -68,3 +68,65 @@ def test_two_previous_rows_equal_plain_lags(spark):
     for width in (1, 3600, 86400, 10**9):
         got = with_previous(df, ["k"], ["ts"], ["v"], prefix="p_", prefix2="q_", bucket_s=width)
         assert {tuple(r) for r in got.select("k", "v", "p_v", "q_v").collect()} == want
+
+
+def hot_and_sparse(spark, n=30_000):
+    """One key with a point a day (a third of all rows), one with many in one hour, and short keys."""
+    rnd = random.Random(11)
+    t0 = datetime(1985, 1, 1)
+    rows = [("sparse", t0 + timedelta(days=i, seconds=rnd.randrange(80_000)), i, i) for i in range(n // 3)]
+    rows += [("dense", t0 + timedelta(microseconds=360_000 * i), n + i, i) for i in range(n // 3)]
+    rows += [(f"k{i % 500}", t0 + timedelta(seconds=rnd.randrange(10**9)), 2 * n + i, i) for i in range(n // 3)]
+    return spark.createDataFrame(rows, "k string, ts timestamp_ntz, id long, v long")
+
+
+def plain_lags(df):
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    return df.select("id", F.lag("v").over(w).alias("a"), F.lag("v", 2).over(w).alias("b"), F.sum("v").over(w).alias("s"))
+
+
+def test_counted_buckets_of_sparse_and_dense_keys(spark):
+    """However sparse or dense a key is: bounded buckets, and few of them."""
+    from trackwise.operators.ordered import FAN_OUT, counted_buckets
+    df = hot_and_sparse(spark)
+    n, limit = df.count(), 2000
+    sizes = counted_buckets(df, ["k"], "ts", limit).groupBy("k", "_bkt", "_cut").agg(
+        F.count("*").alias("n"), F.min("ts").alias("a"), F.max("ts").alias("z")).collect()
+    assert max(r.n for r in sizes) <= limit
+    cut = [r for r in sizes if r._cut]
+    assert {r.k for r in cut} == {"sparse", "dense"} and len(cut) < 0.01 * n
+    for k in ("sparse", "dense"):  # buckets follow one another in time
+        own = sorted((r._bkt, r.a, r.z) for r in cut if r.k == k)
+        assert 4 < len(own) <= FAN_OUT * (n // 3) // limit * 4
+        assert all(x[2] <= y[1] for x, y in zip(own, own[1:]))
+    assert len([r for r in sizes if not r._cut]) == 500  # a short key is one bucket
+
+
+@pytest.mark.parametrize("limit", [7, 300, 2000, 10**6])
+def test_counted_buckets_equal_plain_windows(spark, monkeypatch, limit):
+    from trackwise.operators import ordered
+    monkeypatch.setattr(ordered, "BUCKET_ROWS", limit)
+    df = hot_and_sparse(spark, 3000 if limit < 300 else 30_000)
+    got = with_previous(df, ["k"], ["ts", "id"], ["v"], prefix="p_", prefix2="q_")
+    assert got.columns == [*df.columns, "p_v", "q_v"]
+    sums = running_sum(df, ["k"], ["ts", "id"], {"s": "v"})
+    have = got.select("id", F.col("p_v").alias("a"), F.col("q_v").alias("b")).join(sums.select("id", "s"), "id")
+    assert sorted(have.collect(), key=lambda r: r.id) == sorted(plain_lags(df).collect(), key=lambda r: r.id)
+
+
+def test_buckets_grow_rather_than_their_table(spark, monkeypatch):
+    """With more long spans than may be broadcast, buckets hold more rows."""
+    from trackwise.operators import ordered
+    monkeypatch.setattr(ordered, "BUCKET_ROWS", 5)
+    monkeypatch.setattr(ordered, "MOST_SPANS", 10)
+    df = hot_and_sparse(spark, 3000)
+    sizes = [r["count"] for r in ordered.counted_buckets(df, ["k"], "ts").groupBy("k", "_bkt").count().collect()]
+    assert 5 < max(sizes) <= 300
+
+
+def test_missing_times_and_no_rows(spark):
+    df = spark.createDataFrame([("a", None, 1, 1), ("a", datetime(2024, 1, 1), 2, 2), ("b", None, 3, 3)], "k string, ts timestamp_ntz, id long, v long")
+    got = {r.id: r.prev_v for r in with_previous(df, ["k"], ["ts", "id"], ["v"]).collect()}
+    assert got == {1: None, 2: 1, 3: None}
+    assert {r.id: r.s for r in running_sum(df, [], ["ts", "id"], {"s": "v"}).collect()} == {1: 1, 3: 4, 2: 6}
+    assert with_previous(df.where("false"), ["k"], ["ts"], ["v"]).count() == 0

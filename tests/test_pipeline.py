@@ -31,6 +31,24 @@ def test_quality_report_never_adds_rows(spark):
     assert rows == sorted(rows, reverse=True)
 
 
+def test_report_and_points_are_of_one_run(spark):
+    """The report equals plain counts, and neither points nor report replays the chain."""
+    from trackwise.operators import clean as C
+    ev = D.read_table(spark, SF_SMALL, "events")
+    m = match_points(D.derive_points(ev), D.derive_labels(ev)).cache()
+    run = C.clean_run(m)
+    ranged = C.lat_in_range(m)
+    steps = [m, ranged, C.lon_finite(ranged), C.dedup_first(C.lon_finite(ranged)), C.speed_checked(m),
+             C.speed_checked(m).where(f"speed_kmh <= {C.SPEED_LIMIT_KMH}"), run.points]
+    want = [(i, n, d.count(), d.select("unique_id").distinct().count()) for i, (n, d) in enumerate(zip(C.STAGES, steps), 1)]
+    assert [tuple(r) for r in run.report.orderBy("stage_no").collect()] == want
+    for df in run:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and plan.count("Relation") == 2
+    assert quality_report(m.where("false")).where("n_rows + n_trajectories > 0").count() == 0
+    m.unpersist()
+
+
 def _pts(spark, rows):
     return spark.createDataFrame(rows, "user_id int, plt_idx int, line_no long, ts timestamp_ntz, lat double, "
                                        "lon double, altitude double")

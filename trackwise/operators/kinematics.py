@@ -8,10 +8,10 @@ mean step is > 1e-6, else 0. With fewer than three speeds the missing top
 values fall back to the first (largest). Trajectories with < 3 points are left
 out; a duration <= 1e-6 s gives all zeros.
 
-Plan: one bucketed pass on ``(unique_id, day)`` brings the previous point and the
-one before it, so a step's speed and that of the step before are known in one
-row; top-3 candidates per day by windows on that partitioning; one partial
-aggregation per trajectory for everything.
+Plan: one bucketed pass on ``(unique_id, bucket)`` (counted buckets, see ``ordered``)
+brings the previous point and the one before it, so a step's speed and that of the
+step before are known in one row; top-3 candidates per bucket by windows on that
+partitioning; one partial aggregation per trajectory for everything.
 """
 
 from __future__ import annotations
@@ -20,13 +20,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import MIN_STEP_S, duration_s, finite_or_null, haversine_m
-from .ordered import DEFAULT_BUCKET_S, time_bucket, with_previous
+from .ordered import in_buckets, with_previous
 
 FEATURE_COLUMNS = [f"feature_{i}" for i in range(12)]
 MIN_FEATURE_POINTS = 3
 
 
-def step_kinematics(points: DataFrame, bucket_s: int = DEFAULT_BUCKET_S, keep_bucket: bool = False,
+def step_kinematics(points: DataFrame, bucket_s: int | None = None, keep_bucket: bool = False,
                     carry: tuple[str, ...] = (), acceleration: bool = True) -> DataFrame:
     """STEP_KINEMATICS + STEP_ACCEL: one row per point after the first
     (``acceleration=False``: without ``acc``).
@@ -34,9 +34,9 @@ def step_kinematics(points: DataFrame, bucket_s: int = DEFAULT_BUCKET_S, keep_bu
     Columns added: ``step_m, dt_s, v, acc`` (acc of the first step is 0) and
     ``p_<c>`` for every column in ``carry`` (value at the previous point).
     """
-    d = points.withColumn("_bkt", time_bucket("ts", bucket_s)).repartition("unique_id", "_bkt")
-    d = with_previous(d, ["unique_id"], ["ts"], ["lat", "lon", "ts", *carry], prefix="p_", bucket_s=bucket_s,
-                      prefix2="pp_" if acceleration else None)
+    d = in_buckets(points, ["unique_id"], "ts", bucket_s).repartition("unique_id", "_bkt")
+    d = with_previous(d, ["unique_id"], ["ts"], ["lat", "lon", "ts", *carry], prefix="p_",
+                      prefix2="pp_" if acceleration else None).drop("_cut")
     steps = (d.where(F.col("p_ts").isNotNull())
               .withColumn("step_m", haversine_m("p_lat", "p_lon", "lat", "lon"))
               .withColumn("dt_s", F.greatest(duration_s("p_ts", "ts"), F.lit(MIN_STEP_S)))
@@ -59,16 +59,16 @@ def _top3_parts(col: str, prefix: str) -> list:
             F.coalesce(F.get(top, 2), F.get(top, 0)).alias(f"{prefix}3")]
 
 
-def kinematic_features(clean: DataFrame, bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
+def kinematic_features(clean: DataFrame, bucket_s: int | None = None) -> DataFrame:
     """KINEMATIC_12 from clean points: ``unique_id, label, feature_0..feature_11``.
 
     Rows with no transport mode are dropped first; ``label`` is the mode of the
     earliest point (FIRST_LABEL).
 
-    One shuffle of the points on ``(unique_id, day)`` feeds the previous-rows pass
-    and the per-day top-3 candidates (windows on the same partitioning), a narrow
+    One shuffle of the points on ``(unique_id, bucket)`` feeds the previous-rows pass
+    and the top-3 candidates of a bucket (windows on the same partitioning), a narrow
     one the carried rows; then a single ``groupBy(unique_id)`` computes everything
-    with partial aggregation. The top-3 lists gather at most 3 values per day of a
+    with partial aggregation. The top-3 lists gather at most 3 values per bucket of a
     trajectory.
     """
     pts = clean.where(F.col("transport_mode").isNotNull())

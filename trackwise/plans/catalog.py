@@ -52,6 +52,9 @@ def ts_sql(c: str) -> str:
 
 # ---- cached derivations per (session, folder) -----------------------------
 
+_CLEAN_RUNS: dict[tuple[str, str], object] = {}
+
+
 class Inputs:
     """Lazily built DataFrames over one scale-factor folder."""
 
@@ -84,14 +87,22 @@ class Inputs:
         return self._get("matched", lambda: materialize(
             match_points(self.points, self.labels), "matched_points", reuse_key="matched:" + self.sf_dir))
 
+    @property
+    def clean_run(self):
+        """The cleaning run: points and report, run once per application and folder."""
+        from ..operators.clean import clean_run
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _CLEAN_RUNS:
+            _CLEAN_RUNS[key] = clean_run(self.matched)
+        return _CLEAN_RUNS[key]
+
     @property
     def clean(self) -> DataFrame:
         """Clean points, written once per application and folder (like the
         reference's cleaned Parquet file) and read back by later queries."""
-        from ..operators.clean import clean_points
         from ..session import materialize
         return self._get("clean", lambda: materialize(
-            clean_points(self.matched), "clean_points", reuse_key="clean:" + self.sf_dir))
+            self.clean_run.points, "clean_points", reuse_key="clean:" + self.sf_dir))
 
     @property
     def features(self) -> DataFrame:

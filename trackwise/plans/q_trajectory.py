@@ -131,21 +131,11 @@ SELECT (SELECT CAST(count(DISTINCT unique_id) AS BIGINT) FROM matched) AS matche
          AS duplicates_removed,
        (SELECT CAST(count(DISTINCT unique_id) AS BIGINT) FROM clean) AS clean_trajectories"""))
 def q_distinct_count(spark, sf):
-    i = inputs(spark, sf)
-    ranged = C.lon_finite(C.lat_in_range(i.matched))
-    parts = [
-        i.matched.agg(F.countDistinct("unique_id").alias("v")).withColumn("m", F.lit("mt")),
-        ranged.agg(F.count(F.lit(1)).alias("v")).withColumn("m", F.lit("rg")),
-        C.dedup_first(ranged).agg(F.count(F.lit(1)).alias("v")).withColumn("m", F.lit("dd")),
-        i.clean.agg(F.countDistinct("unique_id").alias("v")).withColumn("m", F.lit("ct")),
-    ]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    pick = lambda m: F.max(F.when(F.col("m") == m, F.col("v")))
-    return u.agg(big(pick("mt")).alias("matched_trajectories"),
-                 big(pick("rg") - pick("dd")).alias("duplicates_removed"),
-                 big(pick("ct")).alias("clean_trajectories"))
+    report = inputs(spark, sf).clean_run.report
+    at = lambda stage, c: F.max(F.when(F.col("stage") == stage, F.col(c)))
+    return report.agg(at("matched", "n_trajectories").alias("matched_trajectories"),
+                      (at("lon_finite", "n_rows") - at("deduplicated", "n_rows")).alias("duplicates_removed"),
+                      at("clean", "n_trajectories").alias("clean_trajectories"))
 
 
 @register("quality_report", with_base("""
@@ -158,7 +148,7 @@ UNION ALL SELECT 5, 'with_previous', count(*), count(DISTINCT unique_id) FROM sp
 UNION ALL SELECT 6, 'speed_ok', count(*), count(DISTINCT unique_id) FROM fast_ok
 UNION ALL SELECT 7, 'clean', count(*), count(DISTINCT unique_id) FROM clean"""))
 def q_quality_report(spark, sf):
-    return C.quality_report(inputs(spark, sf).matched)
+    return inputs(spark, sf).clean_run.report
 
 
 @register("select_drop_rename", with_base(f"""

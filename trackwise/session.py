@@ -27,6 +27,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
+          # small but compute-heavy stages keep their tasks; large ones follow the advisory size
+          .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
           .config("spark.ui.showConsoleProgress", "false")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:

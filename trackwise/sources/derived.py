@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ordered import running_sum
+from ..operators.ordered import DEFAULT_BUCKET_S, running_sum
 
 # Fixed values of the point derivation (micro-degrees).
 LAT0_MICRO = 39_900_000
@@ -55,7 +55,7 @@ def derive_points(events: DataFrame) -> DataFrame:
         "dlat": (F.col("event_id") * LAT_MULT) % STEP_MOD - STEP_HALF,
         "dlon": (F.col("event_id") * LON_MULT) % STEP_MOD - STEP_HALF,
     })
-    walk = running_sum(e, ["user_id"], ["ts", "event_id"], {"slat": "dlat", "slon": "dlon"})
+    walk = running_sum(e, ["user_id"], ["ts", "event_id"], {"slat": "dlat", "slon": "dlon"}, bucket_s=DEFAULT_BUCKET_S)
     base = walk.select(
         "user_id", "event_id", "ts",
         F.col("slat").cast("bigint").alias("slat"),
