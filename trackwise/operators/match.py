@@ -17,7 +17,7 @@ points are spread over the nodes; AQE splits a node that stands out).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import traj_key
@@ -56,12 +56,10 @@ def match_points(points: DataFrame, labels: DataFrame, bin_s: int = JOIN_BIN_S)
     """
     lab = labels.select("user_id", "label_idx", "start_ts", "end_ts", "transport_mode",
                         time_bucket("start_ts", bin_s).alias("_first"), time_bucket("end_ts", bin_s).alias("_last"))
-    seen = Observation()  # counted while the rows are written
-    lab = materialize(dyadic_nodes(lab, "_first", "_last").drop("_first", "_last").observe(
-        seen, F.count(F.lit(1)).alias("n"), F.bit_or(F.expr("shiftleft(1L, _level)")).alias("levels")), "label_nodes")
-    lab = F.broadcast(lab) if seen.get["n"] <= BROADCAST_ROWS else lab.hint("merge")
-    used = seen.get["levels"] or 1
-    here = F.array(*[F.struct(F.lit(l).alias("_level"), F.shiftright("_bin", l).alias("_node")) for l in range(63) if used >> l & 1])
+    lab = materialize(dyadic_nodes(lab, "_first", "_last").drop("_first", "_last"), "label_nodes")
+    n, used = lab.agg(F.count(F.lit(1)), F.bit_or(F.expr("shiftleft(1L, _level)"))).first()  # a bit for each level
+    lab = F.broadcast(lab) if n <= BROADCAST_ROWS else lab.hint("merge")
+    here = F.array(*[F.struct(F.lit(l).alias("_level"), F.shiftright("_bin", l).alias("_node")) for l in range(63) if (used or 1) >> l & 1])
     pts = points.withColumn("_bin", time_bucket("ts", bin_s)).select("*", F.inline(here))
     j = pts.join(lab, on=[pts.user_id == lab.user_id, pts._level == lab._level, pts._node == lab._node,
                           pts.ts >= lab.start_ts, pts.ts <= lab.end_ts], how="inner")

@@ -2,14 +2,16 @@
 
 Parity with the reference is by model family, not by number:
 - random forest: same grid (trees 100/200, depth 10/20/unbounded -> 30, min
-  split 2/5 -> min instances per node 1/2), 3 stratified folds, accuracy;
-- RBF SVM: MLlib has no kernel SVM, so random Fourier features (Rahimi &
-  Recht, 2007) approximate the RBF kernel, followed by one-vs-rest linear SVMs
-  with ``regParam = 1 / (C * n)``; gamma 'scale' = 1 / (d * var(X)), 'auto' = 1 / d;
-- MLP: one hidden layer of 256 (MLlib: sigmoid units, L-BFGS, no dropout); the
-  best of several iteration budgets on the validation split is kept (ties keep
-  the earlier), then scored on the test split.
-All fitting is distributed by MLlib. A saved model scores raw features: the
+  split 2/5), 3 stratified folds, accuracy; the minimum of rows of a split node is
+  applied after the fit (``forest``), so both settings share one fit;
+- RBF SVM: MLlib has no kernel SVM, so Nystroem features (``kernel``) or random Fourier
+  features (Rahimi & Recht, 2007) stand for the RBF kernel, followed by one-vs-rest
+  linear SVMs with ``regParam = 1 / (C * n)``; gamma 'scale' = 1 / (d * var(X)),
+  'auto' = 1 / d; probabilities by Platt scaling of out-of-fold margins;
+- MLP: one hidden layer of 256 rectified units, dropout 0.5, Adam on synchronous
+  mini-batches (``network``); the first epoch with the highest validation accuracy
+  is kept, then scored on the test split.
+All other fitting is distributed by MLlib. A saved model scores raw features: the
 standardiser is its first stage, the class vocabulary lies beside it.
 """
 
@@ -18,24 +20,27 @@ from __future__ import annotations
 import math
 import os
 import time
+from multiprocessing.pool import ThreadPool
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import (LinearSVC, MultilayerPerceptronClassifier, OneVsRest,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LinearSVC, OneVsRest, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param.shared import HasInputCols, HasOutputCol, Param, Params, TypeConverters
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from . import forest as FO
+from . import kernel as KE
 from . import metrics as M
+from . import network as NN
 from . import splits as SP
 
 # The reference's search grids and split settings.
@@ -45,11 +50,17 @@ CLASSICAL_SEED = 42
 CLASSICAL_TEST = 0.2
 CV_FOLDS = 3
 MLP_HIDDEN = 256
-MLP_MAX_ITER = 100
+MLP_DROPOUT = 0.5
+MLP_RATE = 0.001
+MLP_BATCH = 256
+MLP_EPOCHS = 100
 EMBED_SEED = 3407
 EMBED_TEST, EMBED_VAL = 0.15, 0.176
 UNBOUNDED_DEPTH = 30  # MLlib's deepest tree
 RFF_DIM = 256
+SVM_MAX_ITER = 100
+#: Rows that are worth a task of their own in every iteration of a fit.
+TASK_ROWS = 4096
 
 
 def seeded_uniforms(n: int, seed: int) -> np.ndarray:
@@ -127,27 +138,58 @@ def _evaluator() -> MulticlassClassificationEvaluator:
                                              metricName="accuracy")
 
 
-def random_forest_search(train: DataFrame, feature_cols: list[str], parallelism: int = 8):
-    """GRID_SEARCH + RANDOM_FOREST: cross-validated grid, refit on the best."""
+class Search(NamedTuple):
+    model: PipelineModel             # refitted on all training rows with the best setting
+    settings: list[dict[str, object]]
+    accuracies: list[float]          # mean over the folds, in grid order
+
+
+def _folds(train: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    return [(train.where(F.col("fold") != f), train.where(F.col("fold") == f)) for f in range(CV_FOLDS)]
+
+
+def random_forest_search(train: DataFrame, feature_cols: list[str], parallelism: int = 8) -> Search:
+    """GRID_SEARCH + RANDOM_FOREST: cross-validated grid, refit on the best (ties: the earlier setting).
+
+    One fit per fold, number of trees and depth; the settings of ``min_samples_split`` are
+    the same forest, its small split nodes made leaves.
+    """
+    spark = train.sparkSession
     asm = VectorAssembler(inputCols=feature_cols, outputCol="features")
-    rf = RandomForestClassifier(labelCol="label_index", featuresCol="features", seed=CLASSICAL_SEED)
-    grid = (ParamGridBuilder()
-            .addGrid(rf.numTrees, RF_GRID["numTrees"])
-            .addGrid(rf.maxDepth, [d if d is not None else UNBOUNDED_DEPTH for d in RF_GRID["maxDepth"]])
-            .addGrid(rf.minInstancesPerNode, [max(1, m // 2) for m in RF_GRID["min_samples_split"]])
-            .build())
-    cv = CrossValidator(estimator=Pipeline(stages=[asm, rf]), estimatorParamMaps=grid, evaluator=_evaluator(),
-                        foldCol="fold", parallelism=parallelism, seed=CLASSICAL_SEED)
-    return cv.fit(train), grid
-
-
-def svm_search(train: DataFrame, feature_cols: list[str], parallelism: int = 8):
-    """GRID_SEARCH + SVM_RBF (random Fourier features + one-vs-rest linear SVM).
-
-    The feature map depends only on gamma, so it is computed once per gamma and
-    persisted; the folds and iterations of the SVMs then read those vectors.
-    Returns ``(result, grid)`` where ``result`` has ``bestModel`` (a pipeline
-    of the winning map and SVMs) and ``avgMetrics`` in grid order.
+    grown = [(trees, depth) for trees in RF_GRID["numTrees"] for depth in RF_GRID["maxDepth"]]
+    settings = [{"numTrees": t, "maxDepth": UNBOUNDED_DEPTH if d is None else d, "min_samples_split": m}
+                for t, d in grown for m in RF_GRID["min_samples_split"]]
+
+    def fit(rows: DataFrame, trees: int, depth: int | None):
+        return RandomForestClassifier(labelCol="label_index", featuresCol="features", seed=CLASSICAL_SEED, numTrees=trees,
+                                      maxDepth=UNBOUNDED_DEPTH if depth is None else depth).fit(rows)
+
+    few = max(1, train.count() // TASK_ROWS)
+    folds = [(asm.transform(a).coalesce(few).persist(), asm.transform(b).coalesce(few).persist()) for a, b in _folds(train)]
+
+    def score(job: tuple[int, int, int | None]) -> list[float]:
+        fold, trees, depth = job
+        forest = fit(folds[fold][0], trees, depth)
+        return [_evaluator().evaluate(FO.with_min_split(spark, forest, m).transform(folds[fold][1])) for m in RF_GRID["min_samples_split"]]
+
+    with ThreadPool(parallelism) as pool:
+        scores = pool.map(score, [(f, t, d) for f in range(CV_FOLDS) for t, d in grown], chunksize=1)
+    per_fold = [[a for s in scores[f * len(grown):(f + 1) * len(grown)] for a in s] for f in range(CV_FOLDS)]
+    accuracies = [float(np.mean(a)) for a in zip(*per_fold)]
+    best = settings[int(np.argmax(accuracies))]
+    model = FO.with_min_split(spark, fit(asm.transform(train), best["numTrees"], best["maxDepth"]), best["min_samples_split"])
+    for pair in folds:
+        for part in pair:
+            part.unpersist()
+    return Search(PipelineModel(stages=[asm, model]), settings, accuracies)
+
+
+def svm_search(train: DataFrame, feature_cols: list[str], parallelism: int = 8, kernel: str = "nystroem", key: str = "unique_id") -> Search:
+    """GRID_SEARCH + SVM_RBF: kernel features, one-vs-rest linear SVMs, Platt's probabilities.
+
+    The feature map (``kernel``: "nystroem" or "fourier") depends only on gamma, so it is
+    computed once per gamma and persisted; folds and iterations read those vectors. The
+    sigmoid of the probabilities is fitted on the margins of held-out folds.
     """
     n = train.count()
     d = len(feature_cols)
@@ -155,64 +197,80 @@ def svm_search(train: DataFrame, feature_cols: list[str], parallelism: int = 8):
                     .agg(F.var_pop("_x")).first())
     x_var = var_row[0] or 0.0
     gammas = {"scale": 1.0 / (d * x_var) if x_var > 0 else 1.0, "auto": 1.0 / d}
-    # tolerance as the reference SVM (1e-3); inputs are already standardised
-    svc = LinearSVC(maxIter=100, tol=1e-3, standardization=False)
-    ovr = OneVsRest(classifier=svc, labelCol="label_index", featuresCol="features", parallelism=parallelism)
-    reg_grid = ParamGridBuilder().addGrid(svc.regParam, [1.0 / (c * n) for c in SVM_GRID["C"]]).build()
-    grid, metrics, best = [], [], None
-    for g_name in SVM_GRID["gamma"]:
-        rff = RandomFourierFeatures(inputCols=feature_cols, outputCol="features", seed=CLASSICAL_SEED,
-                                    gamma=gammas[g_name])
-        z = rff.transform(train).select("label_index", "fold", "features").persist()
-        cv = CrossValidator(estimator=ovr, estimatorParamMaps=reg_grid, evaluator=_evaluator(),
-                            foldCol="fold", parallelism=parallelism, seed=CLASSICAL_SEED)
-        m = cv.fit(z)
-        for pm, acc in zip(reg_grid, m.avgMetrics):
-            grid.append({rff.gamma: gammas[g_name], **pm})
-            metrics.append(acc)
-        top = max(m.avgMetrics)
-        if best is None or top > best[0]:
-            best = (top, PipelineModel(stages=[rff, m.bestModel]))
-        z.unpersist()
-
-    class _Result:
-        bestModel = best[1]
-        avgMetrics = metrics
-    return _Result(), grid
-
-
-def grid_table(spark, cv_model, grid) -> DataFrame:
+    marks = KE.choose_landmarks(train, feature_cols, key, CLASSICAL_SEED) if kernel == "nystroem" else None
+
+    def machine(c: float) -> OneVsRest:
+        # tolerance as the reference SVM (1e-3); inputs are already standardised
+        svc = LinearSVC(maxIter=SVM_MAX_ITER, tol=1e-3, standardization=False, regParam=1.0 / (c * n))
+        return OneVsRest(classifier=svc, labelCol="label_index", featuresCol="features", parallelism=1)
+
+    def margins(job: tuple[DataFrame, int, float]) -> tuple[float, DataFrame]:
+        """Accuracy on a held-out fold, and its margins (one row per row and class)."""
+        z, fold, c = job
+        scored = machine(c).fit(z.where(F.col("fold") != fold)).transform(z.where(F.col("fold") == fold))
+        pairs = scored.select("label_index", F.posexplode(vector_to_array("rawPrediction")).alias("class", "margin")).select(
+            "margin", (F.col("class") == F.col("label_index")).alias("hit"))
+        return _evaluator().evaluate(scored), pairs
+
+    settings, accuracies, best = [], [], None
+    with ThreadPool(parallelism) as pool:
+        for name in SVM_GRID["gamma"]:
+            stage = KE.NystroemFeatures.of(feature_cols, gammas[name], marks) if marks is not None else RandomFourierFeatures(
+                inputCols=feature_cols, outputCol="features", seed=CLASSICAL_SEED, gamma=gammas[name])
+            z = stage.transform(train).select("label_index", "fold", "features").coalesce(max(1, n // TASK_ROWS)).persist()
+            z.count()
+            jobs = [(z, f, c) for c in SVM_GRID["C"] for f in range(CV_FOLDS)]
+            scores = pool.map(margins, jobs, chunksize=1)
+            for i, c in enumerate(SVM_GRID["C"]):
+                part = scores[i * CV_FOLDS:(i + 1) * CV_FOLDS]
+                accuracy = float(np.mean([a for a, _ in part]))
+                settings.append({"C": c, "gamma": name})
+                accuracies.append(accuracy)
+                if best is None or accuracy > best[0]:
+                    held_out = part[0][1]
+                    for _, more in part[1:]:
+                        held_out = held_out.unionByName(more)
+                    best = (accuracy, stage, c, materialize(held_out, "margins"))
+            z.unpersist()
+    _, stage, c, held_out = best
+    slope, offset = KE.fit_platt(held_out)
+    final = machine(c).fit(stage.transform(train).select("label_index", "features").coalesce(max(1, n // TASK_ROWS)))
+    return Search(PipelineModel(stages=[stage, final, KE.PlattScaling(slope=slope, offset=offset)]), settings, accuracies)
+
+
+def grid_table(spark, search: Search) -> DataFrame:
     """The grid search as a table: one row per parameter set with its mean accuracy."""
-    rows = []
-    for pm, acc in zip(grid, cv_model.avgMetrics):
-        rows.append((", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name)),
-                     float(acc)))
-    return spark.createDataFrame(rows, "params string, accuracy double")
+    rows = [(i, ", ".join(f"{k}={v}" for k, v in sorted(s.items())), a) for i, (s, a) in enumerate(zip(search.settings, search.accuracies))]
+    return spark.createDataFrame(rows, "setting int, params string, accuracy double")
 
 
 def predict(model, df: DataFrame, vocab: DataFrame, key: str = "unique_id", label: str = "label") -> DataFrame:
     """PREDICT: ``key, actual, predicted`` class names."""
-    p = model.transform(df)
+    return class_names(model.transform(df), vocab, key, label)
+
+
+def class_names(scored: DataFrame, vocab: DataFrame, key: str = "unique_id", label: str = "label") -> DataFrame:
+    """``key, actual, predicted`` of scored rows."""
     v = vocab.select(F.col("index").cast("double").alias("prediction"), F.col("label").alias("predicted"))
-    return p.join(v, "prediction", "left").select(key, F.col(label).alias("actual"), "predicted")
+    return scored.join(v, "prediction", "left").select(key, F.col(label).alias("actual"), "predicted")
 
 
 def train_classical(features: DataFrame, feature_cols: list[str], model_type: str = "random_forest",
                     out_dir: str | None = None, parallelism: int = 8) -> dict:
-    """TRAIN_CLASSICAL end to end. Returns report, predictions, grid table and,
-    when ``out_dir`` is given, the saved model folder (MODEL_SINK + RUN_DIR)."""
+    """TRAIN_CLASSICAL end to end. Returns report, predictions, grid table, the training and
+    test rows, and, when ``out_dir`` is given, the saved model folder (MODEL_SINK + RUN_DIR)."""
     train, test, vocab, stats = prepare_classical(features, feature_cols)
     # cut the lineage once: every fold and every tree level re-reads these files
     train = materialize(train, "classical_train").persist()
     test = materialize(test, "classical_test")
     vocab = materialize(vocab, "classical_vocab")
-    search = random_forest_search if model_type == "random_forest" else svm_search
-    cv_model, grid = search(train, feature_cols, parallelism)
-    preds = materialize(predict(cv_model.bestModel, test, vocab), "classical_predictions")
+    search = (random_forest_search if model_type == "random_forest" else svm_search)(train, feature_cols, parallelism)
+    scored = materialize(search.model.transform(test).select("unique_id", "label", "label_index", "prediction", "probability"), "classical_scored")
+    preds = materialize(class_names(scored, vocab, "unique_id", "label"), "classical_predictions")
     report = M.class_report(preds, vocab=vocab)
-    out = {"report": report, "predictions": preds, "grid": grid_table(features.sparkSession, cv_model, grid),
-           "vocab": vocab, "stats": stats,
-           "model": PipelineModel(stages=[standardiser_stage(stats), *cv_model.bestModel.stages])}
+    out = {"report": report, "predictions": preds, "scored": scored, "grid": grid_table(features.sparkSession, search),
+           "vocab": vocab, "stats": stats, "train": train, "test": test, "search": search,
+           "model": PipelineModel(stages=[standardiser_stage(stats), *search.model.stages])}
     if out_dir:
         out["saved"] = save_run(out["model"], vocab, report, out_dir, model_type)
     train.unpersist()
@@ -230,46 +288,30 @@ def save_run(model: PipelineModel, vocab: DataFrame, report: DataFrame, out_dir:
 
 
 def train_embedding(vectors: DataFrame, key: str = "trajectory_id", label: str = "true_label",
-                    vec: str = "embedding", budgets: tuple[int, ...] = (10, 25, 50, MLP_MAX_ITER),
+                    vec: str = "embedding", epochs: int = MLP_EPOCHS, batch_rows: int = MLP_BATCH,
+                    hidden: int = MLP_HIDDEN, dropout: float = MLP_DROPOUT, rate: float = MLP_RATE,
                     out_dir: str | None = None) -> dict:
-    """TRAIN_EMBEDDING: 3-way split, MLP at several iteration budgets (each goes on
-    from the weights of the one before), BEST_MODEL on validation accuracy (first
-    maximum wins), test report and MEAN_LOSS; with ``out_dir`` the best model, the
-    vocabulary and the report are saved (MODEL_SINK + RUN_DIR)."""
-    vocab = M.class_vocab(vectors, label)
+    """TRAIN_EMBEDDING: 3-way split, MLP with Adam on mini-batches, BEST_MODEL on
+    validation accuracy (first maximum wins), test report, and per epoch MEAN_LOSS and
+    validation accuracy (``history``); with ``out_dir`` the best model, the vocabulary
+    and the report are saved (MODEL_SINK + RUN_DIR)."""
+    spark = vectors.sparkSession
+    vocab = materialize(M.class_vocab(vectors, label), "embedding_vocab")
     enc = M.encode_labels(vectors, vocab, label, "label_index").withColumn(
         "label_index", F.col("label_index").cast("double"))
     enc = enc.withColumn("features", array_to_vector(F.col(vec).cast("array<double>")))
-    split = materialize(SP.three_way_split(enc, label, key, EMBED_TEST, EMBED_VAL, EMBED_SEED),
-                        "embedding_split").persist()
-    vocab = materialize(vocab, "embedding_vocab")
-    dim = split.select(F.max(F.size(vec))).first()[0]
-    k = vocab.count()
-    train = split.where(F.col("split") == "train")
-    val = split.where(F.col("split") == "val")
-    test = split.where(F.col("split") == "test")
-    ev = _evaluator()
-    best, best_acc, rows, hist, weights, spent = None, -1.0, [], [], None, 0
-    for it in budgets:
-        mlp = MultilayerPerceptronClassifier(labelCol="label_index", featuresCol="features",
-                                             layers=[dim, MLP_HIDDEN, k], maxIter=it - spent, seed=EMBED_SEED)
-        if weights is not None:
-            mlp = mlp.setInitialWeights(weights)
-        m = mlp.fit(train)
-        weights, spent = m.weights, it
-        losses = list(m.summary().objectiveHistory) if m.hasSummary else []
-        hist += losses[1:] if hist else losses  # a run starts with the loss that the one before ended with
-        acc = ev.evaluate(m.transform(val)) if val.limit(1).count() else 0.0
-        rows.append((it, float(acc)))
-        if best is None or acc > best_acc:
-            best, best_acc = m, acc
-    spark = vectors.sparkSession
-    preds = materialize(predict(best, test, vocab, key, label), "embedding_predictions")
+    split = materialize(SP.three_way_split(enc, label, key, EMBED_TEST, EMBED_VAL, EMBED_SEED), "embedding_split")
+    dim = split.select(F.max(F.size(vec))).first()[0] or 0
+    rows = split.where(F.col("split").isin("train", "val")).select(
+        F.xxhash64(key).alias("hash"), F.col("label_index").cast("long").alias("label"), (F.col("split") == "val").alias("is_val"),
+        F.col(vec).cast("array<double>").alias("features"))
+    fitted = NN.fit_network(rows, dim, vocab.count(), hidden, dropout, rate, batch_rows, epochs, EMBED_SEED)
+    model = NN.NetworkModel.of(fitted)
+    preds = materialize(predict(model, split.where(F.col("split") == "test"), vocab, key, label), "embedding_predictions")
     report = M.class_report(preds, vocab=vocab)
-    loss = spark.createDataFrame([(i, float(v)) for i, v in enumerate(hist)], "iteration int, loss double")
-    cand = spark.createDataFrame(rows, "max_iter int, val_accuracy double")
-    split.unpersist()
-    out = {"report": report, "predictions": preds, "candidates": cand, "loss": loss, "model": best, "vocab": vocab}
+    history = spark.createDataFrame([(e, l, a, e == fitted.best_epoch) for e, l, a in fitted.history],
+                                    "epoch int, loss double, val_accuracy double, best boolean")
+    out = {"report": report, "predictions": preds, "history": history, "model": model, "vocab": vocab, "split": split}
     if out_dir:
-        out["saved"] = save_run(PipelineModel(stages=[best]), vocab, report, out_dir, "mlp")
+        out["saved"] = save_run(PipelineModel(stages=[model]), vocab, report, out_dir, "mlp")
     return out

@@ -217,13 +217,14 @@ def q_standardise(spark, sf):
 
 def classical_test_sql(body: str) -> str:
     """``body`` over ``tested`` (unique_id, label: the test rows of the classical
-    split) and ``classes`` (c)."""
+    split), ``learned`` (the other rows) and ``classes`` (c)."""
     from .q_trajectory import _FEAT_CTES
     return with_base_sql(body, _FEAT_CTES + f""",
 fl AS (SELECT unique_id, label FROM feat),
 rk AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(unique_id || '|42'), unique_id) - 1 AS r FROM fl),
 class_sizes AS (SELECT label, count(*) AS n FROM fl GROUP BY label), {_deal_sql("test", "class_sizes", "n", 0.2)},
 tested AS (SELECT unique_id, rk.label FROM rk JOIN test USING (label) WHERE r < test_n),
+learned AS (SELECT fl.* FROM fl ANTI JOIN tested USING (unique_id)),
 classes AS (SELECT DISTINCT label AS c FROM fl WHERE label IS NOT NULL)""")
 
 
