@@ -91,3 +91,30 @@ def test_images_base64(spark, tmpdir_path):
     import base64
     assert r.trajectory_id == "trajectory_010_0000_0000_bus"
     assert r.image_url == "data:image/png;base64," + base64.b64encode(bytes(range(256)) * 2).decode()
+
+
+def test_a_large_file_is_read_by_many_tasks(spark, tmpdir_path):
+    """Splits at any byte: line numbers, ordinals and values as if each file were read whole."""
+    import os
+    for user, name, n, end in (("001", "a.plt", 3000, "\r\n"), ("001", "b.plt", 0, ""), ("001", "c.plt", 1, "\n"), ("002", "a.plt", 700, "\n")):
+        os.makedirs(f"{tmpdir_path}/Data/{user}/Trajectory", exist_ok=True)
+        rows = ["h"] * 6 + [f"{39 + i * 1e-5:.5f},116.3,0,{i},0,2008-10-23,{i // 3600:02d}:{i // 60 % 60:02d}:{i % 60:02d}" if i % 10 else ("" if i % 20 else "broken") for i in range(n)]
+        with open(f"{tmpdir_path}/Data/{user}/Trajectory/{name}", "w", newline="") as f:
+            f.write(end.join(rows) if n else "")
+    with open(f"{tmpdir_path}/Data/001/labels.txt", "w") as f:
+        f.write("Start\tEnd\tMode\n" + "".join(f"2008/10/23 02:{i // 60:02d}:{i % 60:02d}\t2008/10/23 03:00:00\tbus\n" + ("\n" if i % 7 == 0 else "") for i in range(600)))
+    glob = f"{tmpdir_path}/Data/*/Trajectory/*.plt"
+    confs = {"spark.sql.files.maxPartitionBytes": "4099", "spark.sql.files.openCostInBytes": "100"}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        lines = FS.numbered_lines(spark, glob)
+        assert lines.select("npath", "split").distinct().count() > 30 and spark.read.text(glob).rdd.getNumPartitions() > 30
+        got = {(r.user_id, r.plt_idx, r.line_no): (r.altitude, r.lat) for r in FS.read_plt(spark, glob).collect()}
+        labels = FS.read_labels(spark, f"{tmpdir_path}/Data/*/labels.txt").orderBy("label_idx").collect()
+    finally:
+        for k in confs:
+            spark.conf.unset(k)
+    want = {(u, p, 6 + i): (float(i), round(39 + i * 1e-5, 5)) for u, p, n in ((1, 0, 3000), (2, 0, 700)) for i in range(n) if i % 10}
+    assert got == want
+    assert [(r.label_idx, r.start_ts.minute * 60 + r.start_ts.second) for r in labels] == [(i, i) for i in range(600)]

@@ -2,8 +2,9 @@
 binary (images), CSV and Parquet.
 
 Every reader takes a path or glob and returns a DataFrame with an explicit
-schema; nothing is inferred. Each text file is one task (files of GPS logs are
-small); for one huge file prefer line-delimited formats.
+schema; nothing is inferred. Point and label files are read in splits: small files
+share a task, a large file is cut at line ends, and lines get their numbers from
+counts per split (``numbered_lines``).
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from ..functions.text import base64_url
+from ..session import materialize
 
 # Fixed values of the GPS point file format: 6 header lines, 7 columns.
 PLT_HEADER_LINES = 6
@@ -52,6 +54,24 @@ def _scan_path(c: Column) -> Column:
     return _norm_path(F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))))
 
 
+def numbered_lines(spark: SparkSession, glob: str) -> DataFrame:
+    """``npath, split, line_no, line`` of every line of the text files, numbered from 0 in each file.
+
+    Spark's text source packs small files and cuts large ones at line ends. The lines are
+    written once with their split's first byte and an id that counts up within the task;
+    a line's number is its distance from the first id of its split plus the lines of the
+    file's splits before, so no file is one task. Lines end with LF, CR LF or CR.
+    """
+    lines = materialize(spark.read.text(glob).select(
+        _scan_path(F.col("_metadata.file_path")).alias("npath"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("_at"), F.col("value").alias("line")), "lines")
+    before = Window.partitionBy("npath").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("npath", "split").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first")).select(
+        "npath", "split", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return lines.join(splits, ["npath", "split"]).select(
+        "npath", "split", (F.col("_before") + F.col("_at") - F.col("_first")).alias("line_no"), "line")
+
+
 def read_plt(spark: SparkSession, glob: str, user_min: int | None = None, user_max: int | None = None,
              user_pattern: str = PLT_USER_PATTERN) -> DataFrame:
     """PLT_SCAN + USER_SCAN + PLT_ORDINAL + TS_PARSE + DROP_NULL.
@@ -69,10 +89,7 @@ def read_plt(spark: SparkSession, glob: str, user_min: int | None = None, user_m
     files = files.withColumn(
         "plt_idx", F.row_number().over(Window.partitionBy("user_id").orderBy("npath")) - 1)
 
-    text = spark.read.text(glob, wholetext=True).select(
-        _scan_path(F.col("_metadata.file_path")).alias("npath"), "value")
-    lines = text.select("npath", F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line"))
-    lines = lines.where((F.col("line_no") >= PLT_HEADER_LINES) & (F.trim("line") != ""))
+    lines = numbered_lines(spark, glob).where((F.col("line_no") >= PLT_HEADER_LINES) & (F.trim("line") != ""))
     rec = lines.select("npath", "line_no", F.from_csv("line", PLT_SCHEMA).alias("r"))
     ts = F.try_to_timestamp(F.concat_ws(" ", F.trim("r.date"), F.trim("r.time")),
                             F.lit(PLT_TS_FORMAT)).cast("timestamp_ntz")
@@ -91,17 +108,18 @@ def read_labels(spark: SparkSession, glob: str, user_min: int | None = None, use
     ``label_idx`` is the row's position among the file's data lines, counted
     before unparsable rows are dropped (so drops leave gaps).
     """
-    text = spark.read.text(glob, wholetext=True).select(
-        _scan_path(F.col("_metadata.file_path")).alias("npath"), "value")
-    text = text.withColumn("user_id", F.regexp_extract("npath", user_pattern, 1).cast("int"))
+    lines = numbered_lines(spark, glob).withColumn("user_id", F.regexp_extract("npath", user_pattern, 1).cast("int"))
     if user_min is not None:
-        text = text.where(F.col("user_id") >= user_min)
+        lines = lines.where(F.col("user_id") >= user_min)
     if user_max is not None:
-        text = text.where(F.col("user_id") <= user_max)
-    lines = text.select("user_id", "npath", F.posexplode(F.split("value", r"\r?\n")).alias("pos", "line"))
-    lines = lines.where((F.col("pos") >= LABEL_HEADER_LINES) & (F.trim("line") != ""))
-    lines = lines.withColumn("label_idx", F.row_number().over(
-        Window.partitionBy("npath").orderBy("pos")) - 1)
+        lines = lines.where(F.col("user_id") <= user_max)
+    lines = lines.where((F.col("line_no") >= LABEL_HEADER_LINES) & (F.trim("line") != ""))
+    # position among the data lines: within the split, plus the data lines of the splits before
+    before = Window.partitionBy("npath").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = lines.groupBy("npath", "split").agg(F.count(F.lit(1)).alias("_n")).select(
+        "npath", "split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    lines = lines.withColumn("_in", F.row_number().over(Window.partitionBy("npath", "split").orderBy("line_no")) - 1)
+    lines = lines.join(splits, ["npath", "split"]).withColumn("label_idx", F.col("_before") + F.col("_in"))
     parts = F.split("line", "\t")
     lab = lines.select(
         "user_id", F.col("label_idx").cast("int").alias("label_idx"),
