@@ -177,7 +177,7 @@ def q_svm_fit(spark, sf):
     return _fits(res["train"], res["search"].model, "label")
 
 
-@register("forest_splits", classical_test_sql("SELECT true AS has_splits, 0::BIGINT AS small_splits, count(DISTINCT label) AS classes FROM tested"))
+@register("forest_splits", classical_test_sql("SELECT true AS has_splits, 0::BIGINT AS small_splits, count(*) AS classes FROM classes"))
 def q_forest_splits(spark, sf):
     """RANDOM_FOREST's rule: split nodes with fewer rows than the kept setting allows (none), and the classes it knows."""
     res = _classical(spark, sf, "random_forest")
