@@ -135,6 +135,11 @@ def _unpack_ids(raw: bytes, n: int) -> np.ndarray:
     return (far.astype(U) + np.frombuffer(raw, dtype=U, count=1)).view(np.int64)
 
 
+def set_key(sums: np.ndarray) -> np.ndarray:
+    """The two sums of each set as one 64-bit number."""
+    return mix(sums[0] ^ mix(sums[1])).view(np.int64)
+
+
 def set_sums(h: np.ndarray, edge: np.ndarray) -> np.ndarray:
     """Two 64-bit sums that identify each set, as two rows."""
     f = np.zeros((2, len(h) + 1), dtype=U)
@@ -186,7 +191,7 @@ def _word_rows(k: int, t: tuple[int, int], buckets: int):
                 rows["words"].append(low[a:z].tobytes())
                 rows["who"].append((local * 4 + (who[a:z] & 3)).astype(np.uint32 if len(own) > 16383 else np.uint16).tobytes())
                 rows["docs"].append(_pack_ids(doc[own, 0]))
-                rows["sets"].append(doc[own, 1:].tobytes())
+                rows["sets"].append(doc[own, 1].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows["bucket"], pa.int32())] + [pa.array(rows[c], pa.binary()) for c in ("words", "who", "docs", "sets")],
                 names=list(rows))
@@ -198,8 +203,7 @@ def _word_rows(k: int, t: tuple[int, int], buckets: int):
                 id_ = b.column(0).slice(lo, hi - lo)
                 known = ~np.asarray(id_.is_null())[who]
                 held.append((w[known], ((who + docs) * 4 + space)[known]))
-                ids.append(np.column_stack([id_.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64),
-                                            set_sums(h, edge).view(np.int64).T]))
+                ids.append(np.column_stack([id_.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), set_key(set_sums(h, edge))]))
                 docs += hi - lo
                 count += len(w)
                 if count >= FLUSH_WORDS:
@@ -217,13 +221,13 @@ def _shared_words(pdf: pd.DataFrame) -> pd.DataFrame:
         who = np.frombuffer(who, dtype=np.uint16 if len(who) == 2 * len(words[-1]) else np.uint32)
         tags.append((who & 3).astype(np.uint8))
         places.append(who >> 2)
-    sizes = [len(s) // 16 for s in pdf["sets"]]
+    sizes = [len(s) // 8 for s in pdf["sets"]]
     docs = np.concatenate([_unpack_ids(d, n) for d, n in zip(pdf["docs"], sizes)])
-    f1, f2 = np.frombuffer(b"".join(pdf["sets"]), dtype=np.int64).reshape(-1, 2).T
+    keys = np.frombuffer(b"".join(pdf["sets"]), dtype=np.int64)
     # number the sets; each has the smallest doc_id of its copies, which hold the same words
-    order = np.lexsort((docs, f2, f1))
+    order = np.lexsort((docs, keys))
     new = np.ones(len(docs), dtype=bool)
-    new[1:] = (f1[order[1:]] != f1[order[:-1]]) | (f2[order[1:]] != f2[order[:-1]])
+    new[1:] = keys[order[1:]] != keys[order[:-1]]
     number = np.zeros(len(docs), dtype=U)
     number[order] = np.cumsum(new) - 1
     docs = docs[order[new]]
