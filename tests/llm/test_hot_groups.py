@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from trackwise.llm import decontam, jaccard, repeats
@@ -41,8 +42,33 @@ def test_repeats_of_a_large_family(spark):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == brute.cut_repeats(rows)
 
 
-def test_item_in_many_documents(spark):
+@pytest.mark.parametrize("bound", [500_000, 0])
+def test_item_in_many_documents(spark, monkeypatch, bound):
+    monkeypatch.setattr(decontam, "BROADCAST_ROWS", bound)
     rows, passage = family(5, 60, 50, 3)
     items = [(1, passage), (2, " ".join(passage.split()[:20])), (3, "five words that are nowhere")]
     got = decontam.contained_items(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r.doc_id, r.item_id, r.n_item, r.n_shared) for r in got.collect()} == brute.contained(rows, items)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_search_probes_sketches_only_and_misses_none(spark, seed):
+    rng = random.Random(seed)
+    word = lambda: rng.choice("abcdefghijkl") * 3
+    items = [(i, " ".join(word() for _ in range(rng.choice([1, 3, 5, 6, 9, 30, 80])))) for i in range(60)]
+    rows = []
+    for d in range(300):
+        text = [word() for _ in range(rng.randrange(40))]
+        item = rng.choice(items)[1].split()
+        for _ in range(rng.randrange(3)):
+            item[rng.randrange(len(item))] = word()
+        rows.append((d, " ".join(text + item + text[::-1])))
+    docs, tests = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.n_item, r.n_shared) for r in decontam.contained_items(docs, tests).collect()}
+    assert got == brute.contained(rows, items) and got
+    index = decontam.item_index(tests, "item_id", "text", 5, decontam.THRESHOLD)
+    sizes = {(r.n_item, r.least): r.n for r in index.where("in_sketch").groupBy("item_id", "n_item", "least").agg(F.count("*").alias("n")).collect()}
+    assert all(n == q - least + 1 for (q, least), n in sizes.items())
+    pairs = {tuple(r) for r in decontam.candidate_pairs(docs, index, "doc_id", "text", 5).collect()}
+    assert {g[:2] for g in got} <= pairs
+    assert len(pairs) < docs.count() * tests.count() / 4

@@ -2,17 +2,18 @@
 
 Items and documents are sets of k-word shingles (64-bit hashes). An item is in a
 document when at least ``num/den`` of its shingles are in the document's set.
-Items are partitioned by size; an item of q shingles, of which a containing document shares at least
-``least`` = ceil(q * num/den), has the MinHash sketch of its q - least + 1
-smallest hashes. Such a document lacks at most q - least of them, so it holds at
-least one of the sketch: the search misses none. Documents with fewer shingles
-than the item's least overlap are not searched for it. Containment is then counted
-exactly over all shingles of the item. Search and count share one scan of the
-documents; only matching shingles are shuffled.
-
-The item index is broadcast when its counted size is at most
-``BROADCAST_ROWS``; beyond that the shingles are joined by shuffle. Native
-columns only.
+
+Search: items are partitioned by size. An item of q shingles, of which a containing
+document shares at least ``least`` = ceil(q * num/den), has the MinHash sketch of its
+q - least + 1 smallest hashes. Such a document lacks at most q - least of them, so it
+holds at least one of the sketch: probing the documents' shingles with the sketches
+alone misses none. Documents with fewer shingles than an item's least overlap are not
+candidates for it.
+Verification: the shingles of candidate documents only meet all shingles of their
+candidate items, and containment is counted exactly.
+
+Sketches, items and candidates are each broadcast when their counted rows are at most
+``BROADCAST_ROWS``; beyond that they are joined by shuffle. Native columns only.
 
 Defined results: null or empty texts have no shingles and are neither found nor
 searched. Texts of fewer than k words are one shingle, the whole sequence. Rows
@@ -59,20 +60,37 @@ def item_index(items: DataFrame, id_col: str, text_col: str, k: int, t: tuple[in
         "item_id", "n_item", "least", "hash", (F.col("place") < F.col("sketch")).alias("in_sketch"))
 
 
+def small(rows: DataFrame) -> DataFrame:
+    """A written table, marked for broadcast when its counted rows allow it."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def document_shingles(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """doc_id, n_doc (shingles of the row), hash: one row per shingle of a document."""
+    rows = docs.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("doc_id"), shingle_hashes(F.col(text_col).cast("string"), k).alias("hashes")).where(F.size("hashes") > 0)
+    return rows.select("doc_id", F.size("hashes").alias("n_doc"), F.explode("hashes").alias("hash"))
+
+
+def candidate_pairs(docs: DataFrame, index: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
+    """Distinct doc_id, item_id where the document holds a hash of the item's sketch."""
+    sketch = small(index.where("in_sketch").select("item_id", "least", "hash"))
+    return document_shingles(docs, id_col, text_col, k).join(sketch, "hash").where("n_doc >= least").select("doc_id", "item_id").distinct()
+
+
 def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     item_id: str = "item_id", item_text: str = "text", k: int = SHINGLE_WORDS,
                     t: tuple[int, int] = THRESHOLD) -> DataFrame:
     """doc_id, item_id, n_item, n_shared, containment of every contained item."""
     index = materialize(item_index(items, item_id, item_text, k, t), "item_index")
-    if index.count() <= BROADCAST_ROWS:
-        index = F.broadcast(index)
-    rows = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("doc_id"), shingle_hashes(F.col(text_col).cast("string"), k).alias("hashes")).where(F.size("hashes") > 0)
-    rows = rows.select("doc_id", F.size("hashes").alias("n_doc"), F.explode("hashes").alias("hash"))
-    hits = rows.join(index, "hash").where("n_doc >= least").select("doc_id", "item_id", "hash", "n_item", "least", "in_sketch").distinct()
-    found = hits.groupBy("doc_id", "item_id", "n_item", "least").agg(
-        F.count("*").alias("n_shared"), F.bool_or("in_sketch").alias("met"))
-    return found.where("met AND n_shared >= least").select(
+    pairs = materialize(candidate_pairs(docs, index, id_col, text_col, k), "candidates")
+    ids = small(pairs.select(F.col("doc_id").alias("__candidate")).distinct())
+    chosen = docs.join(ids, F.col(id_col) == F.col("__candidate"), "left_semi")
+    rows = document_shingles(chosen, id_col, text_col, k)
+    hits = rows.join(small(index), "hash").where("n_doc >= least").join(small(pairs), ["doc_id", "item_id"], "left_semi")
+    shared = hits.select("doc_id", "item_id", "hash", "n_item", "least").distinct()
+    found = shared.groupBy("doc_id", "item_id", "n_item", "least").agg(F.count("*").alias("n_shared"))
+    return found.where("n_shared >= least").select(
         "doc_id", "item_id", F.col("n_item").cast("long").alias("n_item"), "n_shared",
         F.round(F.col("n_shared") / F.col("n_item"), 4).alias("containment"))
 
