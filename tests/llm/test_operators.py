@@ -128,6 +128,20 @@ def test_checksums_and_context(spark):
     assert [got[i].text for i in range(1, 6)] == ["pay to IBAN <IBAN> now", rows[1][1], "SSN <SSN>", rows[3][1], "write to <EMAIL> or <PHONE>"]
 
 
+def test_ibans_end_at_their_countrys_length(spark):
+    rows = [(1, "GB82 WEST 1234 5698 7654 32 REF 77"), (2, "DE89 3704 0044 0532 0130 00 BIC COBADEFF"), (3, "NO9386011117947,"),
+            (4, "GB82 WEST 1234 5698 7654 3"), (5, "ZZ82 WEST 1234 5698 7654 32"), (6, "xGB82WEST12345698765432"), (7, "GB82WEST12345698765432X"),
+            (8, "MT84MALT011000012345MTLCAST001S FR14 2004 1010 0505 0001 3M02 606")]
+    got = {r.doc_id: [p.value for p in r.pii if p.kind == "iban"] for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: [rows[0][1][:27]], 2: [rows[1][1][:27]], 3: ["NO9386011117947"], 4: [], 5: [], 6: [], 7: [], 8: [rows[7][1][:31], rows[7][1][32:]]}
+
+
+def test_ibans_of_long_texts(spark):
+    rows = [(1, "GB82 " * 20000), (2, "GB82" * 20000), (3, "FR14 2004 1010 0505 0001 3M02 606 " * 500)]
+    got = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: len([p for p in r.pii if p.kind == "iban"]) for r in got} == {1: 0, 2: 0, 3: 500}
+
+
 def test_secrets_equal_plain_patterns(spark, documents):
     rng = random.Random(3)
     bits = ["token", "=", ":", '"', "secret", "API_KEY", "apikey", "PassWord", " ", "AKIA", "ABCD1234", "deadbeef", "0123", "é", "xyz-_/", "\n",
@@ -161,6 +175,21 @@ def test_license_rules_and_suppression(spark):
     assert len(licenses.rules()) > 200
 
 
+def test_suppression_equals_brute_force(spark):
+    rng = random.Random(11)
+    cases = [[(0, 10, 3), (2, 12, 4), (3, 9, 3)], [(0, 10, 3), (2, 8, 1), (3, 7, 2)], []]
+    cases += [[(a, a + rng.randrange(1, 9), rng.randrange(5)) for a in (rng.randrange(12) for _ in range(rng.randrange(9)))] for _ in range(400)]
+    marks = [(i, sorted((a, -b, rank, "x") for a, b, rank in case)) for i, case in enumerate(cases)]
+    df = spark.createDataFrame(marks, "i long, m array<struct<start:bigint,minus_end:bigint,rank:int,label:string>>")
+    got = {r.i: [(m.start, m.minus_end, m.rank) for m in r.kept] for r in df.select("i", licenses._uncovered(F.col("m")).alias("kept")).collect()}
+    for i, case in marks:
+        kept = []
+        for a, b, rank, _ in case:
+            if not any(c <= a and d <= b and q <= rank for c, d, q in kept):
+                kept.append((a, b, rank))
+        assert got[i] == kept, cases[i]
+
+
 def test_plan_is_best_fit_decreasing():
     import bisect
     rng = random.Random(1)

@@ -2,7 +2,7 @@
 
 Kinds: email, ip, card, phone (always reported once confirmed), and iban and ssn
 (reported when their score reaches ``MIN_SCORE``). Cards pass the Luhn check,
-ibans the mod-97 check; words nearby raise or lower the score of a span. Native
+ibans the mod-97 check at their country's length; words nearby raise or lower the score of a span. Native
 columns only: each pattern runs on texts that pass a cheap necessary test.
 
 The patterns are the plain ones made safe for long texts: possessive
@@ -25,6 +25,14 @@ from pyspark.sql import functions as F
 from .spans import redact, with_matches
 
 MIN_SCORE = 0.5
+# Characters of an iban by country, as registered.
+IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST",
+    26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA",
+    30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU",
+}
+IBAN_REST = "|".join(f"(?:{names})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}" for n, names in IBAN_COUNTRIES.items())
 #: Added or taken off for words in the context.
 CONTEXT_STEP = 0.25
 
@@ -49,7 +57,7 @@ KINDS = (
     Kind("card", r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}+(?![\x20-]?[0-9])",
          r"[0-9](?:[\x20-]?[0-9]){11}", 0.7, r"card|visa|credit|payment|master", r"isbn|order|tracking", base=True),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.6, r"phone|call|tel|mobile|fax", base=True),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    Kind("iban", rf"(?<![A-Za-z0-9])(?:{IBAN_REST})(?![A-Za-z0-9])",
          r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]", 0.7, r"iban|bank|account|konto|compte|cuenta"),
     Kind("ssn", r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
          r"[0-9]{3}-[0-9]{2}-[0-9]{4}", 0.35, r"ssn|social security|taxpayer"),
