@@ -152,16 +152,15 @@ def _places(joined: Column):
 
 def _uncovered(sorted_marks: Column) -> Column:
     """Drops intervals inside one kept before of the same or a higher rank. The
-    marks are sorted by start, then end downwards, then rank; of the kept ones the
-    furthest reaching is the cover."""
+    marks are sorted by start, then end downwards, then rank, so one kept before
+    covers a mark if it reaches as far: the furthest end kept of each rank decides."""
     kept = "CAST(array() AS array<struct<start:bigint,minus_end:bigint,rank:int,label:string>>)"
-    start = F.struct(F.lit(1).cast("long").alias("minus_end"), F.lit(99).alias("rank"), F.expr(kept).alias("kept"))
+    start = F.struct(F.array_repeat(F.lit(1).cast("long"), len(RANK_SCORE)).alias("ends"), F.expr(kept).alias("kept"))
 
     def step(acc: Column, m: Column) -> Column:
-        inside = (m["minus_end"] >= acc["minus_end"]) & (m["rank"] >= acc["rank"])
-        further = ~inside & (m["minus_end"] <= acc["minus_end"])
-        return F.struct(F.when(further, m["minus_end"]).otherwise(acc["minus_end"]).alias("minus_end"),
-                        F.when(further, m["rank"]).otherwise(acc["rank"]).alias("rank"),
+        inside = F.array_min(F.slice(acc["ends"], 1, m["rank"] + 1)) <= m["minus_end"]
+        further = F.transform(acc["ends"], lambda e, i: F.when(i == m["rank"], F.least(e, m["minus_end"])).otherwise(e))
+        return F.struct(F.when(inside, acc["ends"]).otherwise(further).alias("ends"),
                         F.when(inside, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(m))).alias("kept"))
 
     return F.aggregate(sorted_marks, start, step, lambda acc: acc["kept"])
