@@ -338,6 +338,6 @@ def identify(docs: DataFrame, learned: Column, id_col: str = "doc_id", text_col:
         scored = _scored(base, models)
     limits = scored.where("learned = lang_pred").groupBy("lang_pred").agg(
         F.percentile_approx("cross_entropy", REJECT_QUANTILE, 10_000).alias("limit"))
-    return scored.join(limits, "lang_pred", "left").select(
+    return scored.join(F.broadcast(limits), "lang_pred", "left").select(  # limits: one row a language
         "doc_id", "lang_pred", F.round("score", 6).alias("score"), "cross_entropy",
         F.coalesce(F.col("cross_entropy") > F.col("limit"), F.lit(False)).alias("rejected"))
