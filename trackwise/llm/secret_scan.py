@@ -57,6 +57,10 @@ def _pairs(token: Column) -> Column:
     return F.zip_with(F.slice(s, 1, F.length(token)), F.slice(s, 2, F.length(token)), lambda a, b: a * _STATES + b)
 
 
+#: Words that ordinary text is learned from: whole runs of four characters or more.
+ORDINARY = r"[A-Za-z0-9_]{4,}+"
+
+
 def _base_spans(df: DataFrame, text: str, prefix: str) -> tuple[DataFrame, list[str]]:
     columns = []
     for rank, (kind, pattern, gate, group, least) in enumerate(BASE):
@@ -82,10 +86,14 @@ def train(docs: DataFrame, text_col: str = "text") -> list[float]:
     df = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
     df, columns = _base_spans(df, "t", "b_")
     df = df.select("t", F.transform(F.concat(*columns), lambda s: s["value"]).alias("hits"))
-    random = df.select(F.explode("hits").alias("token"), F.lit(1).alias("random"))
-    words = df.select(F.explode(F.regexp_extract_all("t", F.lit("[A-Za-z0-9_]{4,40}+"), F.lit(0))).alias("token"),
-                      "hits").where("NOT exists(hits, h -> contains(h, token))").select("token", F.lit(0).alias("random"))
-    tokens = random.unionByName(words).groupBy("random", "token").agg(F.count("*").alias("n"))
+    def marked(tokens: Column, random: int) -> Column:
+        return F.transform(tokens, lambda v: F.struct(v.alias("token"), F.lit(random).alias("random")))
+
+    words = F.regexp_extract_all("t", F.lit(ORDINARY), F.lit(0))
+    apart = F.when(F.size("hits") == 0, words).otherwise(
+        F.filter(words, lambda w: ~F.exists("hits", lambda h: F.contains(h, w))))
+    tokens = df.select(F.explode(F.concat(marked(F.col("hits"), 1), marked(apart, 0))).alias("x")).select("x.*").groupBy(
+        "random", "token").agg(F.count("*").alias("n"))
     counts = tokens.select("random", "n", F.explode(_pairs(F.col("token"))).alias("pair")).groupBy("random", "pair").agg(
         F.sum("n").alias("n")).collect()  # at most 2 * _STATES squared rows
     table = [[1.0] * _STATES ** 2 for _ in range(2)]
