@@ -12,7 +12,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 NAMES = ["interval_join", "dedup", "speed_kmh", "min_points", "kinematic_12", "seq_build", "quality_report",
          "strat_split", "class_report", "fusion_join", "embed_text", "spatial_join", "scene_context",
-         "trip_summary", "describe", "prompt", "append_resume", "label_scan"]
+         "trip_summary", "describe", "prompt", "append_resume", "label_scan", "geojson_collection"]
 
 
 def _norm(v):

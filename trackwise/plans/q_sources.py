@@ -106,6 +106,19 @@ def q_geojson_io(spark, sf):
                     F.size("tags").cast("bigint").alias("n_tags"))
 
 
+@register("geojson_collection", msql("""
+SELECT feature_id, 'map' AS layer, geom_type, CAST(len(coords) AS BIGINT) AS n_vertices, round(minx, 6) AS minx,
+       round(miny, 6) AS miny, round(maxx, 6) AS maxx, round(maxy, 6) AS maxy,
+       CAST(cardinality(tags) AS BIGINT) AS n_tags FROM mf"""))
+def q_geojson_collection(spark, sf):
+    root = _dir(spark, "collections")
+    FS.write_geojson(inputs(spark, sf).map_features, root)
+    g = FS.read_geojson(spark, f"{root}/b=*/*.txt", "map")
+    return g.select("feature_id", "layer", "geom_type", F.size("coords").cast("bigint").alias("n_vertices"),
+                    *[F.round(c, 6).alias(c) for c in ("minx", "miny", "maxx", "maxy")],
+                    F.size("tags").cast("bigint").alias("n_tags"))
+
+
 @register("graphml_scan", msql("""
 SELECT feature_id AS edge, round(minx, 6) AS minx, round(miny, 6) AS miny, round(maxx, 6) AS maxx,
        round(maxy, 6) AS maxy, CASE WHEN straight THEN 2 ELSE len(coords) END::BIGINT AS n_vertices,

@@ -16,6 +16,7 @@ from pyspark.errors import AnalysisException
 
 from ..functions.text import base64_url
 from ..session import materialize
+from .collection import collection_features
 
 # Fixed values of the GPS point file format: 6 header lines, 7 columns.
 PLT_HEADER_LINES = 6
@@ -170,8 +171,6 @@ _FEATURE = T.StructType([
     T.StructField("type", T.StringType()), T.StructField("id", T.StringType()),
     T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
     T.StructField("geometry", _GEOM)])
-_COLLECTION = T.StructType([T.StructField("type", T.StringType()),
-                            T.StructField("features", T.ArrayType(_FEATURE))])
 
 
 def _pt(a: Column) -> Column:
@@ -206,20 +205,19 @@ def _features_to_rows(f: DataFrame, layer: str | Column, id_col: Column) -> Data
 
 
 def read_geojson(spark: SparkSession, path: str, layer: str) -> DataFrame:
-    """GEOJSON_IO (read) of a FeatureCollection file: one row per feature.
+    """GEOJSON_IO (read) of FeatureCollection files: one row per feature.
 
-    A FeatureCollection is one JSON document, so one file is one task; a
+    Large files are read in splits (``collection.collection_features``); a
     missing file means the layer is absent (empty result), not an error.
     """
     try:
-        raw = spark.read.schema(_COLLECTION).option("multiLine", True).json(path)
+        f = collection_features(spark, path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], _layer_schema())
-    f = raw.select(F.col("_metadata.file_path").alias("_p"), F.posexplode("features").alias("_i", "feature"))
-    fid = F.coalesce(F.col("feature.id"), F.concat_ws("#", F.col("_p"), F.col("_i").cast("string")))
-    return _features_to_rows(f, layer, fid)
+    f = f.select("file", "i", F.from_json("text", _FEATURE).alias("feature"))
+    return _features_to_rows(f, layer, F.coalesce(F.col("feature.id"), F.concat_ws("#", "file", F.col("i").cast("string"))))
 
 
 def read_geojson_seq(spark: SparkSession, path: str, layer: str | None = None) -> DataFrame:
@@ -237,8 +235,7 @@ def _layer_schema() -> str:
             "minx double, miny double, maxx double, maxy double")
 
 
-def write_geojson_seq(features: DataFrame, path: str) -> None:
-    """GEOJSON_IO (write): one GeoJSON Feature per line (RFC 8142 style)."""
+def _feature_json(features: DataFrame) -> Column:
     parts = F.col("parts") if "parts" in features.columns else F.array(F.col("coords"))
     xy = lambda r: F.transform(r, lambda p: F.array(p["lon"], p["lat"]))
     gt = F.col("geom_type")
@@ -248,7 +245,26 @@ def write_geojson_seq(features: DataFrame, path: str) -> None:
     feat = F.struct(F.lit("Feature").alias("type"), F.col("feature_id").alias("id"), F.col("layer").alias("layer"),
                     F.col("tags").alias("properties"),
                     F.struct(gt.alias("type"), F.parse_json(coords).alias("coordinates")).alias("geometry"))
-    features.select(F.to_json(feat).alias("value")).write.mode("overwrite").text(path)
+    return F.to_json(feat)
+
+
+def write_geojson_seq(features: DataFrame, path: str) -> None:
+    """GEOJSON_IO (write): one GeoJSON Feature per line (RFC 8142 style)."""
+    features.select(_feature_json(features).alias("value")).write.mode("overwrite").text(path)
+
+
+def write_geojson(features: DataFrame, path: str, n_files: int = 8) -> None:
+    """GEOJSON_IO (write): FeatureCollections, one complete document per file
+    (``n_files`` hash buckets; folders ``b=<bucket>``)."""
+    b = F.abs(F.hash("feature_id")) % n_files
+    rows = features.select(b.alias("b"), F.lit(1).alias("sec"), "feature_id", F.concat(
+        _feature_json(features), F.lit(",")).alias("value"))
+    buckets = rows.select("b").distinct()
+    # the list ends with a null entry, so that every feature is followed by a comma
+    for sec, text in ((0, '{"type":"FeatureCollection","features":['), (2, "null]}")):
+        rows = rows.unionByName(buckets.select("b", F.lit(sec).alias("sec"), F.lit("").alias("feature_id"), F.lit(text).alias("value")))
+    rows.repartition("b").sortWithinPartitions("b", "sec", "feature_id").drop("sec", "feature_id").write.mode(
+        "overwrite").partitionBy("b").text(path)
 
 
 # ---- GraphML (road network edges) ---------------------------------------------------------
