@@ -66,10 +66,12 @@ def small(rows: DataFrame) -> DataFrame:
 
 
 def document_shingles(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """doc_id, n_doc (shingles of the row), hash: one row per shingle of a document."""
+    """doc_id, n_doc (shingles of the row), hash: one row per shingle of a document; one of a
+    null hash if there is none. (The outer form keeps the optimizer from testing the lists'
+    sizes in the scan, which would compute them twice and before the candidates are chosen.)"""
     rows = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("doc_id"), shingle_hashes(F.col(text_col).cast("string"), k).alias("hashes")).where(F.size("hashes") > 0)
-    return rows.select("doc_id", F.size("hashes").alias("n_doc"), F.explode("hashes").alias("hash"))
+        F.col(id_col).alias("doc_id"), shingle_hashes(F.col(text_col).cast("string"), k).alias("hashes"))
+    return rows.select("doc_id", F.size("hashes").alias("n_doc"), F.explode_outer("hashes").alias("hash"))
 
 
 def candidate_pairs(docs: DataFrame, index: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
