@@ -9,13 +9,15 @@ counts per split (``numbered_lines``).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from ..functions.text import base64_url
-from ..session import materialize
+from ..session import materialize, packed_listing
 from .collection import collection_features
 
 # Fixed values of the GPS point file format: 6 header lines, 7 columns.
@@ -40,11 +42,21 @@ def list_files(spark: SparkSession, glob: str) -> DataFrame:
     conf = spark._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(glob)
     fs = p.getFileSystem(conf)
-    st = fs.globStatus(p) or []
-    rows = [(s.getPath().toString(), int(s.getLen())) for s in st if s.isFile()]
+    st = fs.globStatus(p)
+    rows = _statuses(jvm, st) if st else []
     return spark.createDataFrame(rows, "path string, length long")
 
 
+def _statuses(jvm, st) -> list[tuple[str, int]]:
+    """Path and length of the files among file statuses, read as one text: a call for
+    each field of each file would take the driver longer than the listing."""
+    text = jvm.org.apache.commons.lang3.ArrayUtils.toString(st)
+    found = re.findall(r"\w+\{path=(.*?); isDirectory=(true|false)(?:; length=(\d+);)?", text, re.S)
+    if len(found) == len(st) and all(is_dir == "true" or length for _, is_dir, length in found):
+        return [(path, int(length)) for path, is_dir, length in found if is_dir == "false"]
+    return [(s.getPath().toString(), int(s.getLen())) for s in st if s.isFile()]
+
+
 def _norm_path(c: Column) -> Column:
     """Paths from listings look like ``file:/x``: drop the scheme."""
     return F.regexp_replace(c, r"^[a-z0-9]+:(//)?", "")
@@ -63,7 +75,9 @@ def numbered_lines(spark: SparkSession, glob: str) -> DataFrame:
     a line's number is its distance from the first id of its split plus the lines of the
     file's splits before, so no file is one task. Lines end with LF, CR LF or CR.
     """
-    lines = materialize(spark.read.text(glob).select(
+    with packed_listing(spark):
+        raw = spark.read.text(glob)
+    lines = materialize(raw.select(
         _scan_path(F.col("_metadata.file_path")).alias("npath"), F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("_at"), F.col("value").alias("line")), "lines")
     before = Window.partitionBy("npath").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
@@ -380,8 +394,9 @@ def read_images(spark: SparkSession, path: str, glob: str = "*.png",
                 name_pattern: str = r"([^/]+?)(\.[^./]*)?$") -> DataFrame:
     """BINARY_SCAN + BASE64_URL: ``trajectory_id`` (file stem, or group 1 of
     ``name_pattern`` on the path) and its data URL."""
-    b = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true") \
-             .load(path)
+    with packed_listing(spark):
+        b = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true") \
+                 .load(path)
     stem = F.regexp_extract("path", name_pattern, 1)
     return b.select(stem.alias("trajectory_id"), base64_url("content").alias("image_url"), "length")
 
