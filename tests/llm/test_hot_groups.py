@@ -72,3 +72,24 @@ def test_search_probes_sketches_only_and_misses_none(spark, seed):
     pairs = {tuple(r) for r in decontam.candidate_pairs(docs, index, "doc_id", "text", 5).collect()}
     assert {g[:2] for g in got} <= pairs
     assert len(pairs) < docs.count() * tests.count() / 4
+
+
+def test_only_copied_documents_send_the_key_of_their_set(spark, monkeypatch):
+    """8 bytes a document and bucket are shuffled for documents that have copies, not for all."""
+    seen, words = [], jaccard._word_rows
+
+    def watched(k, t, buckets, copied):
+        seen.append((words(k, t, buckets, copied), copied))
+        return seen[-1][0]
+
+    monkeypatch.setattr(jaccard, "_word_rows", watched)
+    rows, _ = family(6, 60, 40, 8)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs).collect()}
+    assert got == brute.near_duplicates(rows)
+    texts = [t for _, t in rows]
+    sent = docs.select("doc_id", "text", jaccard._bit_of("doc_id").alias("bit")).mapInArrow(
+        seen[0][0], "bucket int, words binary, who binary, docs binary, sets binary").selectExpr(
+        "sum(length(sets)) / 8 AS keys", "sum(length(docs) - 8) / 4 AS docs").first()
+    several = {t for t in texts if texts.count(t) > 1}
+    assert 0 < sent["keys"] < sent["docs"] * 0.4 and sum(t in several for t in texts) < 0.4 * len(texts)

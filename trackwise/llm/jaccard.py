@@ -1,7 +1,7 @@
 """Near-duplicate documents: exact Jaccard join on word shingles by parity sketches.
 
 A document's set is its distinct k-word shingles. Documents with equal sets form
-one class. Every size band has a space of parts: hash ranges of the shingles.
+one class (only they send the key of their set with their words). Every size band has a space of parts: hash ranges of the shingles.
 A part's word is the XOR (parity) of its shingle hashes, so each shingle in only
 one of two sets changes the word of one part: the number of differing parts is
 at most the symmetric difference, which for similarity t and sizes a, b is at
@@ -162,7 +162,9 @@ def _set_rows(k: int, t: tuple[int, int]):
     return run
 
 
-def _word_rows(k: int, t: tuple[int, int], buckets: int):
+def _word_rows(k: int, t: tuple[int, int], buckets: int, copied: np.ndarray):
+    """Part words by bucket, from rows (id, text, bit). Only documents whose bit is set in
+    ``copied`` (they may have copies) send the key of their set along; they come first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         ids: list[np.ndarray] = []
@@ -187,11 +189,14 @@ def _word_rows(k: int, t: tuple[int, int], buckets: int):
             for i in np.flatnonzero(np.diff(cut)).tolist():
                 a, z = int(cut[i]), int(cut[i + 1])
                 own, local = np.unique(who[a:z] >> 2, return_inverse=True)
+                single = doc[own, 2] == 0
+                first = np.argsort(single, kind="stable")
+                local, own = np.argsort(first)[local], own[first]
                 rows["bucket"].append(i)
                 rows["words"].append(low[a:z].tobytes())
                 rows["who"].append((local * 4 + (who[a:z] & 3)).astype(np.uint32 if len(own) > 16383 else np.uint16).tobytes())
                 rows["docs"].append(_pack_ids(doc[own, 0]))
-                rows["sets"].append(doc[own, 1].tobytes())
+                rows["sets"].append(doc[own[:len(own) - int(single.sum())], 1].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows["bucket"], pa.int32())] + [pa.array(rows[c], pa.binary()) for c in ("words", "who", "docs", "sets")],
                 names=list(rows))
@@ -203,7 +208,8 @@ def _word_rows(k: int, t: tuple[int, int], buckets: int):
                 id_ = b.column(0).slice(lo, hi - lo)
                 known = ~np.asarray(id_.is_null())[who]
                 held.append((w[known], ((who + docs) * 4 + space)[known]))
-                ids.append(np.column_stack([id_.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), set_key(set_sums(h, edge))]))
+                maybe = passes(copied, b.column(2).slice(lo, hi - lo).fill_null(0).to_numpy(zero_copy_only=False))
+                ids.append(np.column_stack([id_.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), set_key(set_sums(h, edge)), maybe]))
                 docs += hi - lo
                 count += len(w)
                 if count >= FLUSH_WORDS:
@@ -221,13 +227,16 @@ def _shared_words(pdf: pd.DataFrame) -> pd.DataFrame:
         who = np.frombuffer(who, dtype=np.uint16 if len(who) == 2 * len(words[-1]) else np.uint32)
         tags.append((who & 3).astype(np.uint8))
         places.append(who >> 2)
-    sizes = [len(s) // 8 for s in pdf["sets"]]
+    sizes = [int(p.max()) + 1 for p in places]
     docs = np.concatenate([_unpack_ids(d, n) for d, n in zip(pdf["docs"], sizes)])
-    keys = np.frombuffer(b"".join(pdf["sets"]), dtype=np.int64)
+    # a document without copies is told apart by its id, the others by the key of their set
+    keyed = np.concatenate([np.arange(n) < len(s) // 8 for s, n in zip(pdf["sets"], sizes)])
+    keys = docs.copy()
+    keys[keyed] = np.frombuffer(b"".join(pdf["sets"]), dtype=np.int64)
     # number the sets; each has the smallest doc_id of its copies, which hold the same words
-    order = np.lexsort((docs, keys))
+    order = np.lexsort((docs, keys, keyed))
     new = np.ones(len(docs), dtype=bool)
-    new[1:] = keys[order[1:]] != keys[order[:-1]]
+    new[1:] = (keys[order[1:]] != keys[order[:-1]]) | (keyed[order[1:]] != keyed[order[:-1]])
     number = np.zeros(len(docs), dtype=U)
     number[order] = np.cumsum(new) - 1
     docs = docs[order[new]]
@@ -448,7 +457,11 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, k: int, t: tup
     # one number reaches the driver: the shingles of all sets
     total = sized.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(2 * shuffle_partitions(spark), total // BUCKET_WORDS)
-    words = docs.mapInArrow(_word_rows(k, t, buckets), "bucket int, words binary, who binary, docs binary, sets binary")
+    # sets that several rows have: only their documents must send a key with their words
+    named_sets = sized.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    several = named_sets.groupBy("n_shingles", "f1", "f2").agg(F.count("*").alias("rows")).where("rows > 1")
+    copied = id_filter(named_sets.join(several, ["n_shingles", "f1", "f2"], "left_semi"), "doc_id")
+    words = docs.select("doc_id", "text", _bit_of("doc_id").alias("bit")).mapInArrow(_word_rows(k, t, buckets, copied), "bucket int, words binary, who binary, docs binary, sets binary")
     shared = materialize(words.groupBy("bucket").applyInPandas(_shared_words, "word long, doc long, space int"), "shared")
     # a set that shares too few words of a space resembles none that it meets there
     least = sized.groupBy("doc_id").agg(F.min("least0").alias("least0"), F.min("least1").alias("least1"))
