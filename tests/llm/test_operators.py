@@ -36,6 +36,25 @@ def test_components_of_chains_stars_and_hubs(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+def test_components_write_no_round_that_changes_nothing(spark, monkeypatch):
+    """Every round costs the driver shuffles and tasks: stars need none, stars and a new link one."""
+    from trackwise.llm import common
+
+    written, write = [], common.materialize
+    monkeypatch.setattr(common, "materialize", lambda df, name: written.append(df) or write(df, name))
+
+    def components(rows):
+        written.clear()
+        return {r.id: r.component for r in common.connected_components(spark.createDataFrame(rows, "src long, dst long")).collect()}
+
+    stars = [(i, i % 3) for i in range(3, 60)] + [(2, 5), (7, 7)]  # with a repeat the other way round
+    assert components(stars[:-2]) == {i: i % 3 for i in range(60)} and len(written) == 1
+    assert components(stars) == {i: i % 3 for i in range(60)} and len(written) <= 2
+    assert components(stars + [(1, 2)]) == {i: min(i % 3, 1) for i in range(60)} and len(written) <= 2
+    round_ = written[-1]._jdf.queryExecution().executedPlan().toString()
+    assert round_.count("Exchange hashpartitioning") <= 5
+
+
 def test_near_duplicates_equal_brute_force(spark, documents):
     got = by_id(queries.op2_ngram_jaccard(spark, SF))
     want = brute.near_duplicates(documents)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-__all__ = ["materialize", "read_table", "shuffle_partitions", "text_batches", "connected_components"]
+__all__ = ["materialize", "read_table", "shuffle_partitions", "text_batches", "component_stars", "connected_components"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,45 +38,47 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def component_stars(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """(src, dst) of every vertex of ``edges`` (src, dst: bigint) that reaches a
+    smaller id: itself once and the smallest id it reaches, which is no src.
+
+    Alternating large-star and small-star steps: every step replaces each edge by
+    an edge to the smallest neighbour, so hubs shrink to stars and the edge count
+    never grows. Minima combine map-side; the join back on a hub is one that AQE
+    can split. Each round is written to the shared checkpoint folder; only a count
+    reaches the driver. Edges that form stars end it, without a round that repeats
+    them: a round costs the driver five shuffles, the look at the ends one.
+    """
+    def star(near: DataFrame) -> DataFrame:
+        return near.join(near.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("low")), "src")
+
+    def large_star(e: DataFrame) -> DataFrame:
+        near = e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+        return star(near).where(F.col("dst") > F.col("src")).select(F.col("dst").alias("src"), F.col("low").alias("dst"))
+
+    def small_star(e: DataFrame) -> DataFrame:
+        return star(e).select(F.inline(F.array(*[F.struct(F.col(c).alias("src"), F.col("low").alias("dst")) for c in ("src", "dst")]))).where(
+            "src <> dst").distinct()
+
+    def are_stars(e: DataFrame) -> bool:
+        ends = e.select(F.inline(F.array(*[F.struct(F.col(c).alias("id"), F.lit(up).alias("up")) for c, up in (("src", 1), ("dst", 0))])))
+        seen = ends.groupBy("id").agg(F.sum("up").alias("up"), F.count("*").alias("n"))
+        return not seen.where("up > 1 OR (up = 1 AND n > 1)").agg(F.count("*")).first()[0]
+
+    a, b = F.col("src").cast("long"), F.col("dst").cast("long")
+    e = materialize(edges.where(a != b).select(F.greatest(a, b).alias("src"), F.least(a, b).alias("dst")), "cc")
+    for _ in range(max_rounds):
+        if are_stars(e):
+            return e
+        e = materialize(small_star(large_star(e)), "cc")
+    raise RuntimeError("connected_components did not converge")
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest reachable id per vertex of ``edges`` (src, dst: bigint).
 
     Returns (id, component), one row per vertex that has an edge to another
-    vertex. Alternating large-star and small-star steps: every step replaces
-    each edge by an edge to the smallest neighbour, so hubs shrink to stars and
-    the edge count never grows. Minima combine map-side; the join back on a hub
-    is one that AQE can split. Each round is written to the shared checkpoint
-    folder; only a count and a checksum reach the driver.
+    vertex (see ``component_stars``).
     """
-    def both(e: DataFrame) -> DataFrame:
-        return e.unionByName(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        near = both(e) if large else e.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
-        low = near.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("low"))
-        moved = near.join(low, "src")
-        if large:
-            out = moved.where(F.col("dst") > F.col("src")).select(F.col("dst").alias("src"), F.col("low").alias("dst"))
-        else:
-            out = moved.select(F.col("dst").alias("src"), F.col("low").alias("dst")).unionByName(
-                low.select("src", F.col("low").alias("dst")))
-        return out.where("src <> dst").distinct()
-
-    def state(e: DataFrame):
-        return e.agg(F.count("*"), F.sum(F.xxhash64("src", "dst").cast("decimal(38,0)"))).first()
-
-    e = materialize(edges.select(F.col("src").cast("long"), F.col("dst").cast("long")).where("src <> dst").distinct(), "cc")
-    before = state(e)
-    for _ in range(max_rounds):
-        if not before[0]:
-            break
-        e = materialize(star(star(e, True), False), "cc")
-        now = state(e)
-        if now == before:
-            break
-        before = now
-    else:
-        raise RuntimeError("connected_components did not converge")
-    stars = e.select(F.col("src").alias("id"), F.col("dst").alias("component"))
-    return stars.unionByName(stars.select(F.col("component").alias("id"), "component")).groupBy("id").agg(
-        F.min("component").alias("component"))
+    stars = component_stars(edges.select("src", "dst").distinct(), max_rounds).select(F.col("src").alias("id"), F.col("dst").alias("component"))
+    return stars.unionByName(stars.select(F.col("component").alias("id"), "component").distinct())

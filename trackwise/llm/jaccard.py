@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize, shuffle_partitions, text_batches
+from .common import component_stars, materialize, shuffle_partitions, text_batches
 from .wordhash import U, Words, mix, row_chunks, shingle_sets
 
 SHINGLE_WORDS = 5
@@ -486,13 +486,14 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, k: int, t: tup
     # 1: each document against the best hub it meets
     first = shared.groupBy("doc").agg((-F.max("hub")["minus"]).alias("hub")).where("hub <> doc")
     tested = materialize(first.select("hub", "doc"), "tested")
-    links = materialize(verified(tested, sets, t), "links")
+    links = verified(tested, sets, t)
     # 2: in words that still hold several components, against the word's hub
     named = shared.select("word", "doc", (-F.col("hub.minus")).alias("hub"))
     for stars in (True, False):
-        comp = connected_components(links)
-        named = named.select("word", "doc", "hub").join(comp.withColumnRenamed("id", "doc"), "doc", "left").select(
-            "word", "doc", "hub", F.coalesce("component", "doc").alias("component"))
+        # stars stand for the links that they came from: later ones need new links only
+        links = component_stars(links)
+        named = named.select("word", "doc", "hub").join(links.select(F.col("src").alias("doc"), "dst"), "doc", "left").select(
+            "word", "doc", "hub", F.coalesce("dst", "doc").alias("component"))
         # words met by the same documents are one group
         mixed = named.groupBy("word").agg(
             F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"),
@@ -508,11 +509,11 @@ def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, k: int, t: tup
             pairs = _far_pairs(named, sets, t)
         pairs = pairs.distinct().join(tested, ["hub", "doc"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        links = materialize(links.unionByName(verified(pairs, sets, t)), "links")
+        links = links.unionByName(verified(pairs, sets, t))
         tested = tested.unionByName(pairs)
-    comp = connected_components(links.unionByName(copies))
-    return sized.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    comp = component_stars(links.unionByName(copies))
+    return sized.join(comp.select(F.col("src").alias("doc_id"), "dst"), "doc_id", "left").select(
+        "doc_id", "n_shingles", F.coalesce("dst", "doc_id").alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
