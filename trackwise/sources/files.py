@@ -3,7 +3,7 @@ binary (images), CSV and Parquet.
 
 Every reader takes a path or glob and returns a DataFrame with an explicit
 schema; nothing is inferred. Point and label files are read in splits: small files
-share a task, a large file is cut at line ends, and lines get their numbers from
+share a task (``local``), a large file is cut at line ends, and lines get their numbers from
 counts per split (``numbered_lines``).
 """
 
@@ -18,6 +18,7 @@ from pyspark.errors import AnalysisException
 
 from ..functions.text import base64_url
 from ..session import materialize, packed_listing
+from . import local
 from .collection import collection_features
 
 # Fixed values of the GPS point file format: 6 header lines, 7 columns.
@@ -36,8 +37,12 @@ def list_files(spark: SparkSession, glob: str) -> DataFrame:
     """``path, length`` of every file matching ``glob``, empty files included.
 
     File scans skip zero-length files, but ordinals must count them, so the
-    listing comes from the file system (metadata only, like any file index).
+    listing comes from the file system (metadata only, like any file index): from
+    tasks where they reach it (``local``), else through the driver.
     """
+    found = local.find(spark, glob)
+    if found is not None:
+        return found.select(F.concat(F.lit("file:"), "path").alias("path"), "length")
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(glob)
@@ -67,16 +72,42 @@ def _scan_path(c: Column) -> Column:
     return _norm_path(F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))))
 
 
-def numbered_lines(spark: SparkSession, glob: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, glob: str, files: DataFrame | None = None) -> DataFrame:
     """``npath, split, line_no, line`` of every line of the text files, numbered from 0 in each file.
 
-    Spark's text source packs small files and cuts large ones at line ends. The lines are
+    Small files are read whole by tasks that share them out (``local``). Large and compressed ones,
+    and all of other stores, go through Spark's text source, which cuts large ones at line ends. Their lines are
     written once with their split's first byte and an id that counts up within the task;
     a line's number is its distance from the first id of its split plus the lines of the
     file's splits before, so no file is one task. Lines end with LF, CR LF or CR.
+
+    ``files`` (``npath, length``, written before, and what else goes along with their lines) are
+    those of the glob to read; by default all.
     """
+    own = [c for c in files.columns if c not in ("npath", "length")] if files is not None else []
+    if files is None:
+        found = local.find(spark, glob, folders=True)
+        files = None if found is None else materialize(found.select(F.col("path").alias("npath"), "length"), "files")
+    if files is None or local.local_path(spark, glob) is None:
+        lines = _split_lines(spark, glob)
+        return lines if files is None else lines.join(files.drop("length"), "npath")
+    name = F.element_at(F.split("npath", "/"), -1)
+    files = files.where((F.col("length") > 0) & ~name.startswith(".") & ~name.endswith("._COPYING_") & (~name.startswith("_") | name.contains("=")))
+    most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    small = (F.col("length") <= most) & ~F.lower(name).rlike("(" + "|".join(re.escape(c) for c in local.COMPRESSED) + ")$")
+    large = [r.npath for r in files.where(~small).select("npath").collect()]  # a path for each of them
+    out = local.read_lines(files.where(small)).withColumn("split", F.lit(0).cast("long"))
+    cols = ["npath", "split", "line_no", "line", *own]
+    if large:
+        more = _split_lines(spark, [re.sub(r"([*?\[\]{}\\])", r"\\\1", p) for p in large])
+        out = out.select(*cols).unionByName(more.join(files.drop("length"), "npath").select(*cols))
+    return out.select(*cols)
+
+
+def _split_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``npath, split, line_no, line`` by Spark's text source (``numbered_lines``)."""
     with packed_listing(spark):
-        raw = spark.read.text(glob)
+        raw = spark.read.text(paths)
     lines = materialize(raw.select(
         _scan_path(F.col("_metadata.file_path")).alias("npath"), F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("_at"), F.col("value").alias("line")), "lines")
@@ -93,26 +124,26 @@ def read_plt(spark: SparkSession, glob: str, user_min: int | None = None, user_m
 
     Output ``user_id, plt_idx, line_no, ts, lat, lon, altitude``. ``plt_idx`` is
     the file's rank among its user's files sorted by path, counting empty or
-    unreadable files; users are kept in ``[user_min, user_max]`` (inclusive).
+    unreadable files; users are kept in ``[user_min, user_max]`` (inclusive). Only
+    their files are read, and their numbers go along with the lines.
     """
-    files = list_files(spark, glob).select(_norm_path(F.col("path")).alias("npath"))
+    files = list_files(spark, glob).select(_norm_path(F.col("path")).alias("npath"), "length")
     files = files.withColumn("user_id", F.regexp_extract("npath", user_pattern, 1).cast("int"))
     if user_min is not None:
         files = files.where(F.col("user_id") >= user_min)
     if user_max is not None:
         files = files.where(F.col("user_id") <= user_max)
-    files = files.withColumn(
-        "plt_idx", F.row_number().over(Window.partitionBy("user_id").orderBy("npath")) - 1)
+    files = materialize(files.withColumn(
+        "plt_idx", F.row_number().over(Window.partitionBy("user_id").orderBy("npath")) - 1), "point_files")
 
-    lines = numbered_lines(spark, glob).where((F.col("line_no") >= PLT_HEADER_LINES) & (F.trim("line") != ""))
-    rec = lines.select("npath", "line_no", F.from_csv("line", PLT_SCHEMA).alias("r"))
+    lines = numbered_lines(spark, glob, files).where((F.col("line_no") >= PLT_HEADER_LINES) & (F.trim("line") != ""))
+    rec = lines.select("user_id", "plt_idx", "line_no", F.from_csv("line", PLT_SCHEMA).alias("r"))
     ts = F.try_to_timestamp(F.concat_ws(" ", F.trim("r.date"), F.trim("r.time")),
                             F.lit(PLT_TS_FORMAT)).cast("timestamp_ntz")
-    pts = rec.select("npath", "line_no", ts.alias("ts"), F.col("r.lat").alias("lat"),
+    pts = rec.select("user_id", "plt_idx", "line_no", ts.alias("ts"), F.col("r.lat").alias("lat"),
                      F.col("r.lon").alias("lon"), F.col("r.altitude").alias("altitude"))
     pts = pts.dropna(subset=["ts"])
-    out = pts.join(files, "npath")
-    return out.select("user_id", F.col("plt_idx").cast("int").alias("plt_idx"),
+    return pts.select("user_id", F.col("plt_idx").cast("int").alias("plt_idx"),
                       F.col("line_no").cast("bigint").alias("line_no"), "ts", "lat", "lon", "altitude")
 
 
@@ -128,7 +159,7 @@ def read_labels(spark: SparkSession, glob: str, user_min: int | None = None, use
         lines = lines.where(F.col("user_id") >= user_min)
     if user_max is not None:
         lines = lines.where(F.col("user_id") <= user_max)
-    lines = lines.where((F.col("line_no") >= LABEL_HEADER_LINES) & (F.trim("line") != ""))
+    lines = materialize(lines.where((F.col("line_no") >= LABEL_HEADER_LINES) & (F.trim("line") != "")), "label_lines")
     # position among the data lines: within the split, plus the data lines of the splits before
     before = Window.partitionBy("npath").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     splits = lines.groupBy("npath", "split").agg(F.count(F.lit(1)).alias("_n")).select(
@@ -146,24 +177,35 @@ def read_labels(spark: SparkSession, glob: str, user_min: int | None = None, use
 
 # ---- writers of the same formats (used to build fixtures from tables) ------------------
 
+def write_lines(body: DataFrame, keys: list[str], order: list[str], header: list[str], root: str) -> None:
+    """A text file for each value of the keys, in folders ``key=value``: the header, then ``value`` of its
+    rows in order (``order``: long columns). Tasks write them where they reach the store by its path (``local``),
+    else Spark's text sink does."""
+    body = body.withColumns({k: F.nullif(F.col(k).cast("string"), F.lit("")) for k in keys})  # one folder for both
+    path = local.local_path(body.sparkSession, root)
+    if path is not None:
+        local.write_lines(body, keys, order, header, path)
+        return
+    rows = body.withColumn("_h", F.lit(0))
+    if header:
+        head = body.select(*keys).distinct().select(*keys, F.posexplode(F.array(*[F.lit(h) for h in header])).alias("_h", "value")).withColumn(
+            "_h", F.col("_h") - len(header))
+        rows = rows.unionByName(head, allowMissingColumns=True)
+    (rows.repartition(*keys).sortWithinPartitions(*keys, "_h", *order).select(*keys, "value")
+         .write.partitionBy(*keys).text(root))
+
+
 def write_plt(points: DataFrame, root: str) -> None:
     """Write points as one text file per (user, file index) under
     ``root/<user>/Trajectory/<idx>.plt`` style partition folders."""
-    hdr = [F.lit(x) for x in ("GPS trajectory", "WGS 84", "Altitude is in Feet",
-                               "Reserved 3", "0,2,255,My Track,0,0,2,8421376", "0")]
+    hdr = ["GPS trajectory", "WGS 84", "Altitude is in Feet", "Reserved 3", "0,2,255,My Track,0,0,2,8421376", "0"]
     body = points.select(
-        F.format_string("%03d", "user_id").alias("user"), F.format_string("%04d", "plt_idx").alias("file"),
+        F.format_string("%03d", "user_id").alias("u"), F.format_string("%04d", "plt_idx").alias("f"),
         F.col("line_no").cast("bigint").alias("_o"),
         F.concat_ws(",", F.format_string("%.6f", "lat"), F.format_string("%.6f", "lon"), F.lit("0"),
                     F.format_string("%.1f", "altitude"), F.lit("0"),
                     F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss")).alias("value"))
-    keys = body.select("user", "file").distinct()
-    head = keys.select("user", "file", F.posexplode(F.array(*hdr)).alias("_o", "value")) \
-               .withColumn("_o", F.col("_o") - PLT_HEADER_LINES)
-    allrows = body.unionByName(head.select("user", "file", F.col("_o").cast("bigint"), "value"))
-    allrows = allrows.select(F.col("user").alias("u"), F.col("file").alias("f"), "_o", "value")
-    (allrows.repartition("u", "f").sortWithinPartitions("u", "f", "_o").drop("_o")
-            .write.partitionBy("u", "f").text(root))
+    write_lines(body, ["u", "f"], ["_o"], hdr, root)
 
 
 def write_labels(labels: DataFrame, root: str) -> None:
@@ -172,10 +214,7 @@ def write_labels(labels: DataFrame, root: str) -> None:
         F.format_string("%03d", "user_id").alias("u"), F.col("label_idx").cast("bigint").alias("_o"),
         F.concat_ws("\t", F.date_format("start_ts", LABEL_TS_FORMAT), F.date_format("end_ts", LABEL_TS_FORMAT),
                     "transport_mode").alias("value"))
-    head = body.select("u").distinct().select("u", F.lit(-1).cast("bigint").alias("_o"),
-                                              F.lit("Start Time\tEnd Time\tTransportation Mode").alias("value"))
-    (body.unionByName(head).repartition("u").sortWithinPartitions("u", "_o").drop("_o")
-         .write.partitionBy("u").text(root))
+    write_lines(body, ["u"], ["_o"], ["Start Time\tEnd Time\tTransportation Mode"], root)
 
 
 # ---- GeoJSON -----------------------------------------------------------------------------
@@ -394,13 +433,23 @@ def read_images(spark: SparkSession, path: str, glob: str = "*.png",
                 name_pattern: str = r"([^/]+?)(\.[^./]*)?$") -> DataFrame:
     """BINARY_SCAN + BASE64_URL: ``trajectory_id`` (file stem, or group 1 of
     ``name_pattern`` on the path) and its data URL."""
-    with packed_listing(spark):
-        b = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true") \
-                 .load(path)
+    found = local.find(spark, path, folders=True, name=glob)
+    if found is None:
+        b = _binary_files(spark, path, glob)
+    else:
+        files = materialize(found, "files")
+        # the content of a file is a value of a row, whoever reads it
+        b = local.read_whole(files).withColumn("path", F.concat(F.lit("file:"), "path"))
     stem = F.regexp_extract("path", name_pattern, 1)
     return b.select(stem.alias("trajectory_id"), base64_url("content").alias("image_url"), "length")
 
 
+def _binary_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """``path, length, content`` by Spark's binary source."""
+    with packed_listing(spark):
+        return spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+
+
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"'}
 
 
