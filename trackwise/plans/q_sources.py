@@ -76,8 +76,7 @@ def q_ts_parse(spark, sf):
     start = F.when((F.col("user_id") + F.col("label_idx")) % 4 == 0, F.concat(F.lit("on "), when)).otherwise(when)
     body = lab.select(F.format_string("%03d", "user_id").alias("u"), F.col("label_idx").cast("long").alias("o"), F.concat_ws(
         "\t", start, F.date_format("end_ts", FS.LABEL_TS_FORMAT), "transport_mode").alias("value"))
-    head = body.select("u").distinct().select("u", F.lit(-1).cast("long").alias("o"), F.lit("header").alias("value"))
-    (body.unionByName(head).repartition("u").sortWithinPartitions("u", "o").drop("o").write.partitionBy("u").text(root))
+    FS.write_lines(body, ["u"], ["o"], ["header"], root)
     r = FS.read_labels(spark, f"{root}/u=*/*.txt", user_pattern=r"/u=(\d+)/")
     return r.select(big("user_id").alias("user_id"), big("label_idx").alias("label_idx"), tstr("start_ts").alias("start_ts"))
 
