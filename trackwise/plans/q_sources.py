@@ -141,8 +141,7 @@ SELECT CAST(page_id AS BIGINT) AS page_id,
        CAST(22 + 4 * ceil((octet_length(encode(html)) + 1) / 3) AS BIGINT) AS url_chars FROM pages""")
 def q_binary_scan(spark, sf):
     root = _dir(spark, "binary")
-    inputs(spark, sf).table("pages").select("page_id", F.col("html").alias("value")) \
-        .write.partitionBy("page_id").text(root)
+    FS.write_lines(inputs(spark, sf).table("pages").select("page_id", F.col("html").alias("value")), ["page_id"], [], [], root)
     im = FS.read_images(spark, root, glob="*.txt", name_pattern=r"page_id=(\d+)/")
     return im.select(F.col("trajectory_id").cast("bigint").alias("page_id"),
                      F.length("image_url").cast("bigint").alias("url_chars"))
